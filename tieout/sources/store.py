@@ -1,0 +1,124 @@
+"""Where jobs keep their rows and control frames, on any file system Spark can write.
+
+Rows: `<root>/rows/<table>/release_id=…/slice=…/`, never rewritten once their release is live.
+Control frames: `<root>/control/<name>/<number>/`, each a whole small frame; the highest one that
+Spark finished is the current one. One writer per table is assumed.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tieout import model
+from tieout.operators import release
+
+_CONTROL = {
+    "register": model.REGISTER,
+    "pointer": model.POINTER,
+    "releases": model.RELEASES,
+    "manifest": model.MANIFEST,
+    "cuts": model.CUTS,
+    "tags": model.TAGS,
+    "vault": model.VAULT,
+}
+
+
+@dataclass(frozen=True)
+class Store:
+    spark: SparkSession
+    root: str
+
+    # -- control frames
+
+    def control(self, name: str) -> DataFrame:
+        schema = T.StructType.fromDDL(_CONTROL[name])
+        numbers = self._finished(f"control/{name}")
+        if not numbers:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/control/{name}/{max(numbers)}")
+
+    def put_control(self, name: str, frame: DataFrame) -> None:
+        """Write the whole next frame. Readers see it only once it is complete."""
+        columns = T.StructType.fromDDL(_CONTROL[name]).names
+        number = max(self._finished(f"control/{name}"), default=0) + 1
+        # The frame may read its own predecessor, which stays in place.
+        frame.select(*columns).write.mode("overwrite").parquet(
+            f"{self.root}/control/{name}/{number}"
+        )
+
+    # -- rows under a release
+
+    def write_release(self, table: str, release_id: int, rows: DataFrame) -> None:
+        """Rows with a `slice` column. Rerunning a release that is not live replaces it."""
+        spread = rows.hint("rebalance", "slice")
+        spread.write.mode("overwrite").partitionBy("slice").parquet(
+            f"{self.root}/rows/{table}/release_id={release_id}"
+        )
+
+    def release_rows(self, table: str, release_id: int, schema: T.StructType) -> DataFrame:
+        """The rows one release wrote, live or not."""
+        at = self.rows(table, schema)
+        return at.where(F.col("release_id") == F.lit(release_id)).drop("release_id")
+
+    def rows(self, table: str, schema: T.StructType) -> DataFrame:
+        """Rows of every release, with release_id and slice."""
+        full = T.StructType(
+            [
+                *schema.fields,
+                T.StructField("release_id", T.LongType()),
+                T.StructField("slice", T.StringType()),
+            ]
+        )
+        return self.plain_rows(table, full)
+
+    def plain_rows(self, table: str, schema: T.StructType) -> DataFrame:
+        """Whatever lies under a table, with its partition columns in the schema."""
+        path = f"{self.root}/rows/{table}"
+        if not self._exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def read(self, table: str, schema: T.StructType, release_id: int | None = None) -> DataFrame:
+        """The live rows, or the table as it stood at a release."""
+        manifest = self.control("manifest")
+        return release.read(self.rows(table, schema), manifest, table, release_id).select(
+            *schema.names
+        )
+
+    def head(self, table: str) -> int | None:
+        heads = release.head(self.control("releases")).where(F.col("table_name") == table)
+        row = heads.first()
+        return None if row is None else row["release_id"]
+
+    def next_release(self, table: str) -> int:
+        """Past every release in the log and in the manifest, also after a run that died between."""
+        ids = [
+            self.control(name).where(F.col("table_name") == table).select("release_id")
+            for name in ("releases", "manifest")
+        ]
+        return (ids[0].unionByName(ids[1]).agg(F.max("release_id")).first()[0] or 0) + 1
+
+    # -- file system
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _exists(self, path: str) -> bool:
+        at = self._path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
+    def _finished(self, folder: str) -> list[int]:
+        at = self._path(f"{self.root}/{folder}")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(at):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(at)]
+        return [
+            int(n)
+            for n in names
+            if n.isdigit() and fs.exists(self._path(f"{self.root}/{folder}/{n}/_SUCCESS"))
+        ]
