@@ -1,10 +1,12 @@
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tieout.catalogue.registry import ctes, query, shown, sql_shown
+from tieout.functions import paise
+from tieout.model import MergeSpec
 from tieout.operators import cdc
 from tieout.sources import derived as S
 from tieout.sources.tables import given
@@ -22,14 +24,14 @@ CHANGES = """changes AS (
   FROM events)"""
 
 
-def state_after(condition: str, name: str = "state") -> str:
+def state_after(condition: str, name: str = "state", source: str = "changes") -> str:
     """The table after replaying the chosen changes one by one, written with windows."""
     return f"""{name}_epochs AS (
   SELECT *,
          sum(CASE WHEN op = 'd' THEN 1 ELSE 0 END) OVER seq AS epoch,
          row_number() OVER (PARTITION BY loan_id
                             ORDER BY source_incarnation DESC, source_lsn DESC) AS rn
-  FROM changes WHERE {condition}
+  FROM {source} WHERE {condition}
   WINDOW seq AS (PARTITION BY loan_id ORDER BY source_incarnation, source_lsn)),
 {name}_carried AS (
   SELECT *,
@@ -224,9 +226,6 @@ FROM base b LEFT JOIN best USING (order_id)""",
 )
 def base_load(spark, sf):
     """Orders as the export at position 1000, their lines as a stream that overlaps it."""
-    from tieout.functions import paise
-    from tieout.model import MergeSpec
-
     spec = MergeSpec(("order_id",), ("status", "amount_paise"))
     export = given(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_id"),
@@ -249,16 +248,22 @@ def base_load(spark, sf):
 
 @query(
     "cdc_sweep",
-    ctes(CHANGES, ALL)
-    + """SELECT loan_id,
-       CASE WHEN source_incarnation < 2 AND NOT is_deleted THEN NULL ELSE status END AS status,
-       CASE WHEN source_incarnation < 2 AND NOT is_deleted THEN 2
-            ELSE source_incarnation END AS source_incarnation,
-       CASE WHEN source_incarnation < 2 AND NOT is_deleted THEN 1
-            ELSE source_lsn END AS source_lsn,
-       is_deleted OR source_incarnation < 2 AS is_deleted
-FROM state""",
+    ctes(CHANGES, state_after("ingest_ts < TIMESTAMP '2024-01-17'", "before_sweep"))
+    + """, with_sweep AS (
+  SELECT loan_id, status, principal_paise, loan_terms, op, source_incarnation, source_lsn
+  FROM changes
+  UNION ALL
+  SELECT loan_id, NULL, NULL, NULL, 'd', 2, 1
+  FROM before_sweep WHERE source_incarnation < 2 AND NOT is_deleted),
+"""
+    + state_after("true", "swept", "with_sweep")
+    + f" SELECT {STATE} FROM swept",
 )
 def sweep(spark, sf):
-    swept = cdc.sweep(_merged(spark, sf), S.LOAN, 2, 1, datetime(2024, 2, 2, tzinfo=UTC))
-    return swept.select("loan_id", "status", "source_incarnation", "source_lsn", "is_deleted")
+    """A re-snapshot that finished a day after the restore, then the rest of the stream."""
+    changes, finished = S.changes(spark, sf), F.lit(datetime(2024, 1, 17))
+    first = changes.where(F.col("ingest_ts") < finished)
+    rest = changes.where(F.col("ingest_ts") >= finished)
+    state = cdc.apply_changes(cdc.empty_target(first, S.LOAN), first, S.LOAN, S.MERGED_AT)
+    swept = cdc.sweep(state, S.LOAN, incarnation=2, slot_position=1, updated_at=S.MERGED_AT)
+    return cdc.apply_changes(swept, rest, S.LOAN, S.MERGED_AT).drop("updated_at")

@@ -176,7 +176,7 @@ def read_at(spark, sf):
         F.lit(S.TABLE).alias("table_name"),
         F.lit(1).cast("bigint").alias("release_id"),
     )
-    position = cut.agg(F.max("position")).scalar()
+    position = cut.first()["position"]
     rows = C.read_at(
         S.released_rows(spark, sf), S.manifest(spark, sf), cuts, S.TABLE, "sales", position
     )

@@ -13,14 +13,14 @@ UNPARSED = "unparsed"
 
 def envelope_schema(row: T.StructType) -> T.StructType:
     """The envelope around a captured row: its images before and after, and where it came from."""
-    source = T.StructType().add("lsn", "bigint").add("table", "string")
+    text = T.StringType()
     return (
         T.StructType()
         .add("before", row)
         .add("after", row)
-        .add("op", "string")
-        .add("source", source)
-        .add("transaction", T.StructType().add("id", "string"))
+        .add("op", text)
+        .add("source", T.StructType().add("lsn", T.LongType()).add("table", text))
+        .add("transaction", T.StructType().add("id", text))
     )
 
 

@@ -43,8 +43,8 @@ def check_parts(rows: DataFrame, parts: DataFrame, contract: FeedContract) -> Da
     )
     elsewhere = ~F.col("row_date").eqNullSafe(F.col("posting_date"))
     totals = (
-        by_date.join(parts.select("file_id", "posting_date"), "file_id")
-        .groupBy("file_id")
+        by_date.join(parts.select("file_id", "posting_date").distinct(), "file_id")
+        .groupBy("file_id", "posting_date")
         .agg(
             F.sum("n").alias("found_rows"),
             F.sum("amount").alias("found_paise"),
@@ -56,7 +56,9 @@ def check_parts(rows: DataFrame, parts: DataFrame, contract: FeedContract) -> Da
         F.count_distinct(*(F.col(k) for k in contract.keys)).alias("distinct_keys")
     )
     counts = ("found_rows", "null_amounts", "other_dates", "distinct_keys")
-    checked = parts.join(totals, "file_id", "left").join(keys, "file_id", "left")
+    checked = parts.join(totals, ["file_id", "posting_date"], "left").join(
+        keys, "file_id", "left"
+    )
     checked = checked.withColumns(
         {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in counts}
     )
@@ -100,6 +102,7 @@ def classify_arrivals(parts: DataFrame, register: DataFrame) -> DataFrame:
     in its place is accepted, and parts it blocks leave. One round settles everything unless
     bytes and places overlap.
     """
+    parts = materialise(parts)  # a row per arriving file; read in every round
     known = register.where(F.col("state").isin(*_RECEIVED))
     known_hashes = known.select("file_hash").distinct()
     known_slots = known.select(*SLOT).distinct()

@@ -13,6 +13,7 @@ def local(cores: str | int = "*", shuffle_partitions: int = 8, **settings: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in settings.items():

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tieout import fixed_values as V
+from tieout.durable import materialise
 from tieout.functions import paise
 from tieout.model import MANIFEST, POINTER, FeedContract, MergeSpec
 from tieout.operators import cdc, deliveries, release
@@ -204,12 +205,14 @@ def requests(register: DataFrame, sequence: int | None = None, approver: str | N
 
 def first_published(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(register, pointer) once every whole first version was published with approval."""
-    register = staged_register(spark, folder)
+    register = materialise(staged_register(spark, folder))
     nothing = spark.createDataFrame([], POINTER)
-    verdicts = deliveries.publish_verdicts(requests(register, 1, "start"), register, nothing)
+    verdicts = materialise(
+        deliveries.publish_verdicts(requests(register, 1, "start"), register, nothing)
+    )
     wins = verdicts.where(F.col("verdict") == V.PUBLISHED)
-    moved = deliveries.flip(nothing, wins, FIRST_PUBLISH)
-    return deliveries.settle_register(register, verdicts, moved), moved
+    moved = materialise(deliveries.flip(nothing, wins, FIRST_PUBLISH))
+    return materialise(deliveries.settle_register(register, verdicts, moved)), moved
 
 
 def second_published(spark: SparkSession, folder: str) -> DataFrame:
