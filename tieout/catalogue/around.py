@@ -40,7 +40,7 @@ LOAN_ROW = (
 )
 
 
-def _envelopes(spark, sf):
+def envelopes(changes):
     """The change stream as its source writes it: JSON with the images before and after."""
     image = F.struct(*LOAN_ROW.names)
     deleted = F.col("op") == V.DELETE
@@ -51,7 +51,7 @@ def _envelopes(spark, sf):
         F.struct(F.col("source_lsn").alias("lsn"), F.lit("loan").alias("table")).alias("source"),
         F.struct(F.concat(F.lit("tx-"), "source_lsn").alias("id")).alias("transaction"),
     )
-    return S.changes(spark, sf).select("ingest_ts", F.to_json(envelope).alias("value"))
+    return changes.select("ingest_ts", F.to_json(envelope).alias("value"))
 
 
 @query(
@@ -63,7 +63,7 @@ def _envelopes(spark, sf):
 FROM changes""",
 )
 def flatten_changes(spark, sf):
-    flat = bronze.flatten_changes(_envelopes(spark, sf), LOAN_ROW, incarnation=1)
+    flat = bronze.flatten_changes(envelopes(S.changes(spark, sf)), LOAN_ROW, incarnation=1)
     return flat.drop("unparsed").withColumns(shown("ingest_ts"))
 
 
@@ -109,7 +109,11 @@ def land_flagged(spark, sf):
 
 
 def _events(spark, sf):
-    return given(spark, sf, "events").select(
+    return app_events(given(spark, sf, "events"))
+
+
+def app_events(rows):
+    return rows.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_ts"),
         "user_id",
@@ -561,7 +565,7 @@ def as_of(spark, sf):
     )
 
 
-def _watched(spark, sf):
+def watched(spark, sf):
     """Event types worth watching, from the events themselves."""
     types = given(spark, sf, "events").select("event_type").distinct()
     return types.where(F.col("event_type").isin("purchase", "error"))
@@ -580,7 +584,7 @@ SIGNAL_COLUMNS = f"""user_id, {sql_shown("window_start")} AS window_start,
 @query("signals_score", ctes(SIGNALS) + f"SELECT {SIGNAL_COLUMNS} FROM signals")
 def score(spark, sf):
     once = events.dedup(_events(spark, sf), ("position",))
-    return signals.score(once, _watched(spark, sf)).withColumns(
+    return signals.score(once, watched(spark, sf)).withColumns(
         shown("window_start", "window_end")
     )
 
@@ -606,7 +610,7 @@ def drift(spark, sf):
     gold_rows = found.where(
         "event_type = 'purchase' OR (event_type = 'error' AND amount_paise < 20000)"
     ).select("user_id", F.to_date("event_ts").alias("business_date"), "amount_paise")
-    return signals.drift(signals.score(found, _watched(spark, sf)), gold_rows)
+    return signals.drift(signals.score(found, watched(spark, sf)), gold_rows)
 
 
 # ---- quality and health

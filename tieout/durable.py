@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,8 @@ def materialise(frame: DataFrame) -> DataFrame:
     """The frame computed once and kept in the checkpoint folder."""
     checkpoint_dir(frame.sparkSession)
     return frame.checkpoint()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder, for a job that must write tables."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"

@@ -106,7 +106,7 @@ TRANSACTIONS = (
 REGISTER = (
     "file_id string, file_hash string, partner string, feed string, posting_date date, "
     "sequence_number bigint, part_number int, part_count int, row_count bigint, "
-    "amount_paise bigint, state string, reason string, registered_at timestamp"
+    "amount_paise bigint, state string, reason string, registered_at timestamp, load_id bigint"
 )
 POINTER = (
     "partner string, feed string, posting_date date, sequence_number bigint, "

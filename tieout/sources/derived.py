@@ -40,6 +40,10 @@ FACT_KEYS = ("txn_id",)
 
 
 def changes(spark: SparkSession, folder: str) -> DataFrame:
+    return changes_of(given(spark, folder, "events"))
+
+
+def changes_of(events: DataFrame) -> DataFrame:
     restored = F.col("ts") >= F.lit(RESTORE)
     terms = (
         F.when(F.col("event_type").isin("view", "click"), V.UNCHANGED)
@@ -49,7 +53,7 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
     op = F.when(F.col("event_type") == "signup", "c").when(
         F.col("event_type") == "error", "d"
     ).otherwise("u")
-    return given(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").cast("string").alias("loan_id"),
         F.col("event_type").alias("status"),
         paise("value").alias("principal_paise"),

@@ -46,9 +46,8 @@ class Store:
         columns = T.StructType.fromDDL(_CONTROL[name]).names
         number = max(self._finished(f"control/{name}"), default=0) + 1
         # The frame may read its own predecessor, which stays in place.
-        frame.select(*columns).write.mode("overwrite").parquet(
-            f"{self.root}/control/{name}/{number}"
-        )
+        sized = frame.select(*columns).hint("rebalance")
+        sized.write.mode("overwrite").parquet(f"{self.root}/control/{name}/{number}")
 
     # -- rows under a release
 
