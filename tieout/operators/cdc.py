@@ -71,10 +71,18 @@ def apply_changes(
     keeps the key; a delete of an unknown key is stored; an unchanged large column keeps the
     last value the source sent since the row was last deleted.
     """
+    return apply_folded(
+        target, fill_unchanged(reject_unsupported(changes), spec), spec, updated_at
+    )
+
+
+def apply_folded(
+    target: DataFrame, folded: DataFrame, spec: MergeSpec, updated_at: datetime | None = None
+) -> DataFrame:
+    """`apply_changes` for a batch that was folded before, one row per key on either side."""
     instant = F.current_timestamp() if updated_at is None else F.lit(updated_at)
-    folded = fill_unchanged(reject_unsupported(changes), spec).alias("s")
     current = target.withColumn("at", position()).alias("t")
-    both = current.join(folded, list(spec.keys), "full_outer")
+    both = current.join(folded.alias("s"), list(spec.keys), "full_outer")
 
     new_at = F.struct("s.newest.source_incarnation", "s.newest.source_lsn")
     applies = F.col("s.newest").isNotNull() & _since_target(new_at)

@@ -28,27 +28,6 @@ def current(pointer: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     return pointer.where(is_open()).groupBy(*keys).agg(F.max(version).alias(version))
 
 
-def opened(
-    pointer: DataFrame,
-    requests: DataFrame,
-    keys: Sequence[str],
-    version: str,
-    extra: Sequence[str] = (),
-) -> DataFrame:
-    """The highest requested version of each key, where it is higher than the current one."""
-    wanted = F.max(F.struct(version, *extra)).alias("wanted")
-    present = current(pointer, keys, version).withColumnRenamed(version, "present")
-    higher = F.col(version) > F.coalesce("present", F.lit(-1))
-    return (
-        requests.groupBy(*keys)
-        .agg(wanted)
-        .select(*keys, "wanted.*")
-        .join(present, list(keys), "left")
-        .where(higher)
-        .drop("present")
-    )
-
-
 def flip(
     pointer: DataFrame,
     requests: DataFrame,
@@ -57,20 +36,29 @@ def flip(
     version: str,
     extra: Sequence[str] = (),
 ) -> DataFrame:
-    """The whole next pointer: rows the new version replaces end at the instant it begins.
+    """The whole next pointer: the highest requested version of each key begins if it is higher
+    than the current one, and rows it replaces end at the same instant.
 
     The result does not depend on the order of the requests, and repeating them changes nothing.
+    History is passed through untouched; only open rows meet the requests.
     """
+    keys = list(keys)
     instant = valid_at if isinstance(valid_at, Column) else F.lit(valid_at)
-    new = opened(pointer, requests, keys, version, extra)
-    replacing = new.select(*keys, F.col(version).alias("replaced_by"))
-    ends = is_open() & (F.col(version) < F.col("replaced_by"))
-    kept = (
-        pointer.join(replacing, list(keys), "left")
-        .withColumn("valid_to", F.when(ends, instant).otherwise(F.col("valid_to")))
-        .select(*pointer.columns)
+    wanted = (
+        requests.groupBy(*keys)
+        .agg(F.max(F.struct(version, *extra)).alias("wanted"))
+        .where(F.col("wanted")[version] > -1)
+    )
+    ended, live = pointer.where(~is_open()), pointer.where(is_open())
+    replaced = F.col(version) < F.col("wanted")[version]
+    live = live.join(wanted, keys, "left").withColumn(
+        "valid_to", F.when(replaced, instant).otherwise(F.col("valid_to"))
+    )
+    begun = (
+        wanted.join(current(pointer, keys, version).withColumnRenamed(version, "now"), keys, "left")
+        .where(F.col("wanted")[version] > F.coalesce("now", F.lit(-1)))
+        .select(*keys, "wanted.*")
+        .withColumns({"valid_from": instant, "valid_to": F.lit(None).cast("timestamp")})
     )
-    begun = new.withColumns(
-        {"valid_from": instant, "valid_to": F.lit(None).cast("timestamp")}
-    ).select(*pointer.columns)
-    return kept.unionByName(begun)
+    columns = pointer.columns
+    return ended.unionByName(live.select(*columns)).unionByName(begun.select(*columns))

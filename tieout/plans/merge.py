@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tieout import fixed_values as V
+from tieout.durable import materialise
 from tieout.model import RELEASES, MergeSpec
 from tieout.operators import cdc, release
 from tieout.sources.store import Store
@@ -36,18 +37,21 @@ def merge_batch(
 ) -> int | None:
     """Write the next release of the table and make it live. Returns the live release.
 
-    An unsupported change fails the write, so the live release stays what it was.
+    The batch is read once: folded to a row per key and kept. An unsupported change fails that
+    step, before anything is written. `buckets` is fixed for a table's life; choose it so that a
+    bucket is a few gigabytes.
     """
     schema = target_schema(changes, spec)
+    folded = materialise(cdc.fill_unchanged(cdc.reject_unsupported(changes), spec))
     # At most one value per bucket.
-    touched = [r[0] for r in changes.select(key_slice(spec.keys, buckets)).distinct().collect()]
+    touched = [r[0] for r in folded.select(key_slice(spec.keys, buckets)).distinct().collect()]
     head = store.head(table)
     if not touched:
         return head
     stored = store.rows(table, schema).where(F.col("slice").isin(touched))
     manifest = store.control("manifest")
     target = release.read(stored, manifest, table).select(*schema.names)
-    merged = cdc.apply_changes(target, changes, spec, now)
+    merged = cdc.apply_folded(target, folded, spec, now)
     release_id = store.next_release(table)
     store.write_release(
         table, release_id, merged.withColumn("slice", key_slice(spec.keys, buckets))

@@ -12,6 +12,8 @@ def local(cores: str | int = "*", shuffle_partitions: int = 8, **settings: str)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Split a skewed join also where that costs one more shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

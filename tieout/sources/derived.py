@@ -304,9 +304,8 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
         "release_id", F.lit(2).cast("bigint")
     )
     nothing = spark.createDataFrame([], MANIFEST)
-    return release.publish(
-        release.publish(nothing, first, FIRST_PUBLISH), second, SECOND_PUBLISH
-    )
+    once = materialise(release.publish(nothing, first, FIRST_PUBLISH))
+    return release.publish(once, second, SECOND_PUBLISH)
 
 
 def release_log(spark: SparkSession, folder: str) -> DataFrame:
