@@ -150,10 +150,7 @@ def test_tables_advance_together_and_past_cuts_stay_readable(spark, store):
 
     def at(table, spec, schema_of, position):
         schema = merge.target_schema(schema_of, spec)
-        rows = C.read_at(
-            store.rows(table, schema), store.control("manifest"), store.control("cuts"),
-            table, "db", position,
-        )
+        rows = cut_advance.read_at(store, table, schema, "db", position)
         return cdc.live_rows(rows).count()
 
     assert run([("E1", 11, "t1")]) is None
@@ -179,3 +176,12 @@ def test_a_run_that_died_before_its_cut_was_recorded_is_run_again(spark, store):
     assert cut_advance.advance(store, "db", e, tables, NOW, buckets=2)["position"] == 1
     schema = merge.target_schema(only_loan.bronze, LOANS)
     assert store.read("loan", schema).count() == 1
+
+
+def test_a_cut_expires_after_a_week(spark):
+    from tieout.model import CUTS
+
+    rows = [("db", i, f"t{i}", T0, "loan", i, NOW - timedelta(days=d, minutes=1))
+            for i, d in enumerate((6, 7))]
+    kept = C.unexpired(spark.createDataFrame(rows, CUTS), NOW).collect()
+    assert [r["position"] for r in kept] == [0]

@@ -119,9 +119,9 @@ def cells_compared(spark, sf):
 @query(
     "gate_row_diff",
     ctes(FACT, FAULTY)
-    + """SELECT txn_id, CASE WHEN c.txn_id IS NOT NULL THEN 1 END AS c_rows,
+    + """SELECT txn_id, CASE WHEN c.txn_id IS NOT NULL THEN CAST(1 AS BIGINT) END AS c_rows,
        c.amount_paise AS c_amount_paise,
-       CASE WHEN r.txn_id IS NOT NULL THEN 1 END AS r_rows, r.amount_paise AS r_amount_paise,
+       CASE WHEN r.txn_id IS NOT NULL THEN CAST(1 AS BIGINT) END AS r_rows, r.amount_paise AS r_amount_paise,
        CASE WHEN c.txn_id IS NULL THEN 'missing in candidate'
             WHEN r.txn_id IS NULL THEN 'only in candidate' ELSE 'amount differs' END AS difference
 FROM faulty c FULL JOIN fact r USING (txn_id)

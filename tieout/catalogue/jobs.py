@@ -18,7 +18,6 @@ from tieout.catalogue.registry import ctes, query, shown
 from tieout.durable import scratch
 from tieout.model import MergeSpec
 from tieout.operators import cdc
-from tieout.operators import cut as C
 from tieout.operators import deliveries as D
 from tieout.plans import cut_advance, file_delivery, gate_publish, merge
 from tieout.sources import derived as S
@@ -83,10 +82,7 @@ def advance_source(spark, sf):
     found = None
     for name, (table, spec) in specs.items():
         schema = merge.target_schema(rows[name], spec)
-        state = C.read_at(
-            store.rows(table, schema), store.control("manifest"), store.control("cuts"),
-            table, "sales", last["position"],
-        )
+        state = cut_advance.read_at(store, table, schema, "sales", last["position"])
         one = cdc.live_rows(state).select(
             F.lit(name).alias("source_table"), F.col(spec.keys[0]).alias("key")
         )

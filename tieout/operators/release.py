@@ -23,26 +23,37 @@ def publish(manifest: DataFrame, slices: DataFrame, valid_at: datetime | Column)
     return pointer.flip(manifest, slices, valid_at, SLICE, "release_id")
 
 
+def wanted(manifest: DataFrame, table: str, release: int | Column | None = None) -> DataFrame:
+    """Which release holds each slice: of the head, or of the table as it stood at a release."""
+    mine = manifest.where(F.col("table_name") == table)
+    if release is None:
+        return mine.where(pointer.is_open()).select("slice", "release_id")
+    at = release if isinstance(release, Column) else F.lit(release)
+    return (
+        mine.where(F.col("release_id") <= at)
+        .groupBy("slice")
+        .agg(F.max("release_id").alias("release_id"))
+    )
+
+
+def known_at(manifest: DataFrame, table: str, moment: datetime) -> DataFrame:
+    mine = manifest.where((F.col("table_name") == table) & pointer.held_at(moment))
+    return mine.select("slice", "release_id")
+
+
 def read(
     rows: DataFrame, manifest: DataFrame, table: str, release: int | Column | None = None
 ) -> DataFrame:
     """Rows of the head, or of the table exactly as it stood at one release."""
-    mine = manifest.where(F.col("table_name") == table)
-    if release is None:
-        wanted = mine.where(pointer.is_open())
-    else:
-        release = release if isinstance(release, Column) else F.lit(release)
-        wanted = (
-            mine.where(F.col("release_id") <= release)
-            .groupBy("slice")
-            .agg(F.max("release_id").alias("release_id"))
-        )
-    return rows.join(wanted.select("slice", "release_id"), ["slice", "release_id"], "left_semi")
+    return of_slices(rows, wanted(manifest, table, release))
 
 
 def read_known_at(rows: DataFrame, manifest: DataFrame, table: str, moment: datetime) -> DataFrame:
-    wanted = manifest.where((F.col("table_name") == table) & pointer.held_at(moment))
-    return rows.join(wanted.select("slice", "release_id"), ["slice", "release_id"], "left_semi")
+    return of_slices(rows, known_at(manifest, table, moment))
+
+
+def of_slices(rows: DataFrame, slices: DataFrame) -> DataFrame:
+    return rows.join(slices, ["slice", "release_id"], "left_semi")
 
 
 def head(releases: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -77,19 +77,13 @@ def publish(
     A wider wave is safe only for approved requests, which skip the guard.
     """
     asked = materialise(requests.select(*DELIVERY, "sequence_number", "approved_by"))
-    days = asked.agg(F.min("posting_date"), F.max("posting_date")).first()
-    if days[0] is None:
+    first = asked.agg(F.min("posting_date")).first()[0]
+    if first is None:
         raise ValueError("no version was requested")
-    verdicts = []
-    start = days[0]
-    while start <= days[1]:
-        end = start + timedelta(days=wave_days)
-        wave = asked.where(
-            (F.col("posting_date") >= F.lit(start)) & (F.col("posting_date") < F.lit(end))
-        )
-        if not wave.isEmpty():
-            verdicts.append(_publish_wave(store, contract, wave, now))
-        start = end
+    wave = F.floor(F.datediff("posting_date", F.lit(first)) / wave_days)
+    # One number per wave that has requests.
+    numbers = sorted(r[0] for r in asked.select(wave).distinct().collect())
+    verdicts = [_publish_wave(store, contract, asked.where(wave == n), now) for n in numbers]
     return reduce(DataFrame.unionByName, verdicts)
 
 

@@ -48,9 +48,8 @@ def merge_batch(
     head = store.head(table)
     if not touched:
         return head
-    stored = store.rows(table, schema).where(F.col("slice").isin(touched))
-    manifest = store.control("manifest")
-    target = release.read(stored, manifest, table).select(*schema.names)
+    live = release.wanted(store.control("manifest"), table).where(F.col("slice").isin(touched))
+    target = store.of_slices(table, schema, live).select(*schema.names)
     merged = cdc.apply_folded(target, folded, spec, now)
     release_id = store.next_release(table)
     store.write_release(

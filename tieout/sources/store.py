@@ -59,12 +59,24 @@ class Store:
         )
 
     def release_rows(self, table: str, release_id: int, schema: T.StructType) -> DataFrame:
-        """The rows one release wrote, live or not."""
-        at = self.rows(table, schema)
-        return at.where(F.col("release_id") == F.lit(release_id)).drop("release_id")
+        """The rows one release wrote, live or not, with their slice."""
+        return self._releases(table, schema, [release_id]).drop("release_id")
 
-    def rows(self, table: str, schema: T.StructType) -> DataFrame:
-        """Rows of every release, with release_id and slice."""
+    def of_slices(self, table: str, schema: T.StructType, slices: DataFrame) -> DataFrame:
+        """Rows of the named (slice, release_id) pairs.
+
+        Only the folders of those releases are listed, at most one per slice; folders of
+        replaced releases cost nothing.
+        """
+        live = [r[0] for r in slices.select("release_id").distinct().collect()]
+        return release.of_slices(self._releases(table, schema, live), slices)
+
+    def read(self, table: str, schema: T.StructType, release_id: int | None = None) -> DataFrame:
+        """The live rows, or the table as it stood at a release."""
+        slices = release.wanted(self.control("manifest"), table, release_id)
+        return self.of_slices(table, schema, slices).select(*schema.names)
+
+    def _releases(self, table: str, schema: T.StructType, ids: list[int]) -> DataFrame:
         full = T.StructType(
             [
                 *schema.fields,
@@ -72,7 +84,11 @@ class Store:
                 T.StructField("slice", T.StringType()),
             ]
         )
-        return self.plain_rows(table, full)
+        if not ids:
+            return self.spark.createDataFrame([], full)
+        base = f"{self.root}/rows/{table}"
+        folders = [f"{base}/release_id={i}" for i in sorted(ids)]
+        return self.spark.read.schema(full).option("basePath", base).parquet(*folders)
 
     def plain_rows(self, table: str, schema: T.StructType) -> DataFrame:
         """Whatever lies under a table, with its partition columns in the schema."""
@@ -81,13 +97,6 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def read(self, table: str, schema: T.StructType, release_id: int | None = None) -> DataFrame:
-        """The live rows, or the table as it stood at a release."""
-        manifest = self.control("manifest")
-        return release.read(self.rows(table, schema), manifest, table, release_id).select(
-            *schema.names
-        )
-
     def head(self, table: str) -> int | None:
         heads = release.head(self.control("releases")).where(F.col("table_name") == table)
         row = heads.first()
