@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tieout.catalogue.around import FACT_CONTRACT
 from tieout.durable import checkpoint_dir
-from tieout.model import ColumnRule, DataContract
+from tieout.model import ColumnRule, DataContract, FeedContract
 from tieout.operators import api, bronze, events, features, privacy, quality
 from tieout.sources.tables import partner_file
 from tieout.streaming import events as streams
@@ -139,6 +139,15 @@ def test_a_contract_is_read_and_checked(spark):
                    "duplicateValues:n": 1, "type:n": 3}
 
 
+def test_a_feed_contract_is_read():
+    document = {
+        "schema": [{"properties": [{"name": "id", "primaryKey": True}, {"name": "n"}]}],
+        "customProperties": [{"property": "truncationThreshold", "value": 0.3},
+                             {"property": "reference", "value": True}],
+    }
+    assert FeedContract.from_document(document) == FeedContract(("id",), "amount_paise", 0.3, True)
+
+
 def test_a_metric_may_filter_only_on_contracted_values():
     assert quality.metric_filter_problems(FACT_CONTRACT) == []
     bad = DataContract("x", (ColumnRule("status", allowed=("A",)),),

@@ -200,6 +200,25 @@ def test_a_month_end_tag_never_moves(golden):
     assert (tag["tag"], tag["release_id"]) == ("month_end_2026_03", 1)
 
 
+def test_a_release_is_reconciled_once_its_closed_dates_tie(golden, spark):
+    golden.publish(BASE)
+    schema = fact(spark, BASE).schema
+    reported = gate.cell_totals(fact(spark, BASE), KEYS)
+
+    def run(totals, *closed):
+        dates = spark.createDataFrame([(d,) for d in closed], "business_date date")
+        status = jobs.reconcile(golden.store, "fact", schema, KEYS, totals, dates).collect()
+        flag = golden.store.control("releases").first()["reconciled"]
+        return sorted((r["business_date"], r["status"]) for r in status), flag
+
+    assert run(reported, DAY1) == (
+        [(DAY1, "reconciled"), (DAY2, "checked against silver")], False)
+    wrong = gate.cell_totals(fact(spark, BASE[:2]), KEYS)
+    assert run(wrong, DAY1, DAY2) == (
+        [(DAY1, "reconciled"), (DAY2, "no control totals")], False)
+    assert run(reported, DAY1, DAY2) == ([(DAY1, "reconciled"), (DAY2, "reconciled")], True)
+
+
 def test_a_build_never_mixes_two_cuts_of_one_source(spark):
     rows = spark.range(1)
     with pytest.raises(ValueError):

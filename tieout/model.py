@@ -35,6 +35,20 @@ class FeedContract:
     keys: tuple[str, ...]
     amount: str = "amount_paise"
     truncation_threshold: float = V.TRUNCATION_THRESHOLD
+    reference: bool = False  # announced when a new version goes live
+    optional: bool = False  # a missing delivery is a declared gap
+
+    @classmethod
+    def from_document(cls, document: dict) -> FeedContract:
+        """Read the feed's contract from its parsed YAML or JSON document (the ODCS layout)."""
+        (table,) = document["schema"]
+        custom = {p["property"]: p["value"] for p in document.get("customProperties", ())}
+        return cls(
+            keys=tuple(p["name"] for p in table["properties"] if p.get("primaryKey")),
+            truncation_threshold=custom.get("truncationThreshold", V.TRUNCATION_THRESHOLD),
+            reference=custom.get("reference", False),
+            optional=custom.get("optional", False),
+        )
 
 
 @dataclass(frozen=True)

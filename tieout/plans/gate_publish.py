@@ -90,6 +90,44 @@ def publish_or_hold(
     return GateResult(True, reasons)
 
 
+def reconcile(
+    store: Store,
+    table: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    control_totals: DataFrame,
+    closed_dates: DataFrame,
+) -> DataFrame:
+    """Tie the live rows of closed dates to the sources' own totals; a status per cell.
+
+    A release is marked reconciled once every date it still holds is closed and ties.
+    """
+    slices = release.wanted(store.control("manifest"), table)
+    live = store.of_slices(table, schema, slices).select(*schema.names)
+    status = materialise(
+        gate.reconcile_closed(gate.cell_totals(live, keys), control_totals, closed_dates)
+    )
+    closed = closed_dates.select(F.col("business_date").cast("string").alias("slice"))
+    open_slices = slices.join(closed, "slice", "left_anti").select("release_id")
+    untied = status.where(F.col("status") != "reconciled").select(
+        F.col("business_date").cast("string").alias("slice")
+    )
+    untied_slices = slices.join(untied, "slice", "left_semi").select("release_id")
+    done = (
+        slices.select("release_id")
+        .distinct()
+        .join(open_slices.unionByName(untied_slices), "release_id", "left_anti")
+        .withColumn("tied", F.lit(True))
+    )
+    mine = F.col("table_name") == table
+    log = store.control("releases").join(done, "release_id", "left")
+    marked = F.coalesce(mine & F.col("tied"), F.lit(False))
+    store.put_control(
+        "releases", log.withColumn("reconciled", F.col("reconciled") | marked)
+    )
+    return status
+
+
 def tag_month_end(store: Store, table: str, month_end: date, now: datetime) -> None:
     """Name the published release of a month; corrections never change it."""
     mine = store.control("releases").where(F.col("table_name") == table)
