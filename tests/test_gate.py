@@ -161,6 +161,15 @@ def test_a_sum_that_overflows_fails_and_is_found(spark):
     assert (cell["business_date"], int(cell["total"])) == (DAY1, 2**63)
 
 
+def test_sums_that_could_wrap_are_refused(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError):
+            gate.cell_totals(fact(spark, BASE), KEYS)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_rows_the_fingerprint_cannot_tell_apart_are_shown(spark):
     rows = fact(spark, [("t1", DAY1, 1), (None, DAY1, 1), ("t2", None, 1), ("t3", DAY1, None)])
     assert gate.unusable_rows(rows, KEYS).count() == 3

@@ -4,7 +4,15 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tieout.catalogue.deliveries import POINTERS, SECOND_OPEN
+from tieout.catalogue.deliveries import (
+    FIRST,
+    PARTS,
+    POINTERS,
+    ROWS,
+    SECOND,
+    SECOND_OPEN,
+    VERSIONS,
+)
 from tieout.catalogue.registry import ctes, query, shown
 from tieout.functions import paise
 from tieout.model import TAGS
@@ -192,14 +200,21 @@ def incomplete_inputs(spark, sf):
 
 @query(
     "gate_reasons_inputs_first",
-    POINTERS
-    + f""", {SECOND_OPEN}
-SELECT DISTINCT 'input not complete: ' || d.partner || '.' || d.feed || ' (no version for '
-       || CAST(d.posting_date AS VARCHAR) || ')' AS reason
-FROM versions d LEFT JOIN opened o USING (partner, feed, posting_date) WHERE o.partner IS NULL""",
+    ctes(
+        ROWS, PARTS, VERSIONS, FIRST, SECOND, SECOND_OPEN, FACT, FAULTY,
+        totals("faulty", "candidate"), totals("fact", "reference"), BOTH,
+        """waiting AS (
+  SELECT DISTINCT 'input not complete: ' || d.partner || '.' || d.feed || ' (no version for '
+         || CAST(d.posting_date AS VARCHAR) || ')' AS reason
+  FROM versions d LEFT JOIN opened o USING (partner, feed, posting_date)
+  WHERE o.partner IS NULL)""",
+    )
+    + f"""SELECT reason FROM waiting
+UNION ALL
+SELECT {REASON} FROM broken WHERE NOT EXISTS (SELECT 1 FROM waiting)""",
 )
 def reasons_inputs_first(spark, sf):
-    """Inputs are missing, so the faulty candidate is not even compared."""
+    """While inputs are missing the faulty candidate is not even compared."""
     return gate.reasons(
         S.faulty_fact(spark, sf), S.fact(spark, sf), _delivery_inputs(spark, sf), S.FACT_KEYS
     )
@@ -367,11 +382,11 @@ def head(spark, sf):
 @query(
     "release_publishable",
     """WITH candidates AS (
-  SELECT o_orderpriority AS table_name, 200100 + month(o_orderdate) AS release_id,
-         CASE WHEN month(o_orderdate) <= 3 THEN 2000
-              WHEN month(o_orderdate) <= 6 THEN 2001 ELSE 1999 END AS parent_release,
+  SELECT o_orderpriority AS table_name, year(o_orderdate) * 100 + month(o_orderdate) AS release_id,
+         CASE WHEN month(o_orderdate) <= 3 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END
+           AS parent_release,
          min(o_orderdate) AS created_at
-  FROM orders WHERE year(o_orderdate) = 2001 GROUP BY ALL),
+  FROM orders GROUP BY ALL),
 heads AS (
   SELECT o_orderpriority AS table_name, max(year(o_orderdate)) AS head FROM orders
   WHERE NOT (year(o_orderdate) = 2001 AND o_orderpriority IN ('1-URGENT', '5-LOW'))
@@ -382,16 +397,15 @@ FROM candidates JOIN heads USING (table_name) WHERE parent_release = head
 QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY created_at, release_id) = 1""",
 )
 def publishable(spark, sf):
-    """A candidate a month; some were built on the head, some on an older release."""
-    month = F.month("o_orderdate")
-    parent = F.when(month <= 3, 2000).when(month <= 6, 2001).otherwise(1999).cast("bigint")
+    """A candidate a month; those of a year's first months were built on a newer release."""
+    year, month = F.year("o_orderdate"), F.month("o_orderdate")
+    parent = F.when(month <= 3, year).otherwise(year - 1)
     candidates = (
         given(spark, sf, "orders")
-        .where(F.year("o_orderdate") == 2001)
         .groupBy(
             F.col("o_orderpriority").alias("table_name"),
-            (200100 + month).cast("bigint").alias("release_id"),
-            parent.alias("parent_release"),
+            (year * 100 + month).cast("bigint").alias("release_id"),
+            parent.cast("bigint").alias("parent_release"),
         )
         .agg(F.min("o_orderdate").alias("created_at"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = function
+
+        @wraps(function)
+        def in_utc(spark: SparkSession, folder: str) -> DataFrame:
+            # Instants are UTC; the session's zone is part of what a timestamp means.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return function(spark, folder)
+
+        QUERIES[name] = in_utc
         if sql is not None:
             ORACLES[name] = sql
         return function
