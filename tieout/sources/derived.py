@@ -182,10 +182,10 @@ def file_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as their trailers describe them. A version has as many parts as its highest one."""
     rows = file_rows(spark, folder)
     version = ["partner", "feed", "posting_date", "sequence_number"]
-    manifest = rows.groupBy(*version).agg(F.max("part_number").alias("part_count"))
     parts = rows.groupBy("file_id", *version, "part_number").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("amount_paise").alias("amount_paise")
     )
+    manifest = parts.groupBy(*version).agg(F.max("part_number").alias("part_count"))
     content = F.concat_ws("|", "file_id", "row_count", "amount_paise")
     return parts.join(manifest, version).withColumn("file_hash", F.md5(content))
 
