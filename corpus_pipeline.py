@@ -50,13 +50,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A text that loses words becomes its kept words joined by one space, with n_chars to match;
     any other stays as it is.
     """
-    found = substring_dedup.deduplicate(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    changed = found.select("row.*", text.alias("text"), F.col("n_removed").alias("_removed"))
-    if "n_chars" in docs.columns:
-        n = F.when(F.col("_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-        changed = changed.withColumn("n_chars", n)
-    return changed.select(*docs.columns)
+    own = [F.col(c).alias(f"_{c}") for c in docs.columns]
+    found = substring_dedup.deduplicate(docs.select(*own), id_column="_doc_id", text_column="_text")
+    less = F.col("n_removed") > 0
+    changed = {
+        "text": F.when(less, F.col("kept")).otherwise(F.col("_text")),
+        "n_chars": F.when(less, F.length("kept").cast("bigint")).otherwise(F.col("_n_chars")),
+    }
+    return found.select(*(changed.get(c, F.col(f"_{c}")).alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

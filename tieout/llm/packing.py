@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import math
 import zlib
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -226,6 +226,13 @@ def _epoch(islands: int, capacity: int, epoch: int, rows: pd.DataFrame) -> pd.Da
     return pd.DataFrame(out, columns=rows.columns)
 
 
+def _evolving(islands: int, capacity: int, epoch: int):
+    def evolved(rows: pd.DataFrame) -> pd.DataFrame:
+        return _epoch(islands, capacity, epoch, rows)
+
+    return evolved
+
+
 def pack(
     documents: DataFrame,
     rank_file: str,
@@ -253,9 +260,7 @@ def pack(
         F.lit(False).alias("elite"),
     )
     for epoch in range(EPOCHS):
-        rows = rows.groupBy("island").applyInPandas(
-            partial(_epoch, islands, capacity, epoch), _ROWS
-        )
+        rows = rows.groupBy("island").applyInPandas(_evolving(islands, capacity, epoch), _ROWS)
     placed = rows.where(~F.col("elite")).select(
         "uid",
         (F.shiftleft("island", 32) + F.col("sequence")).alias("sequence_id"),

@@ -59,7 +59,7 @@ def ngrams(text: str | None, bits: int = BITS):
     for at in range(0, len(words), _WORDS_AT_ONCE):
         # One word more, so that no bigram is lost between two parts.
         part = words[at : at + _WORDS_AT_ONCE + 1]
-        h = np.array([_HASHES[w] for w in part], "u8")
+        h = np.fromiter(map(_HASHES.__getitem__, part), "u8", len(part))
         pairs = (h[:-1] * _MIX) ^ (h[1:] + (h[:-1] << np.uint64(7)))
         ones = h[:_WORDS_AT_ONCE]
         both = np.concatenate([ones * _MIX, pairs * _MIX])

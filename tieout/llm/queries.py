@@ -75,10 +75,9 @@ def op7_simhash_near_dedup(spark, sf):
 
 
 def op8_substring_dedup(spark, sf):
-    found = substring_dedup.deduplicate(table(spark, sf, "documents"), keep_text=False)
-    return found.select(
-        "row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")
-    )
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    found = substring_dedup.deduplicate(documents, keep_text=False)
+    return found.drop("text").withColumnRenamed("kept", "kept_sha256")
 
 
 def op9_exact_top_k(spark, sf):

@@ -140,8 +140,9 @@ def _anchors(window: int, anchor: int, batches):
             yield pd.concat([found, tell])
 
 
+#: A phrase is known by 96 bits.
 _PHRASES = (
-    "h1 bigint, h2 bigint, ord bigint, uid bigint, start int, words int, earlier boolean"
+    "h1 bigint, h2 int, ord bigint, uid bigint, start int, words int, earlier boolean"
 )
 
 
@@ -167,7 +168,8 @@ def _phrases(window: int, anchor: int, batches):
             at = np.flatnonzero(asked)
             if not len(at):
                 continue
-            h1, h2 = (block.rolled(window, seed)[at] for seed in (11, 23))
+            h1 = block.rolled(window, 11)[at]
+            h2 = block.rolled(window, 23)[at].astype("u4").view("i4")
             doc, start = block.doc[at] + low, block.place[at]
             order = np.lexsort((start, uids[doc], orders[doc], h2, h1))
             same = np.zeros(len(at), bool)
@@ -176,7 +178,7 @@ def _phrases(window: int, anchor: int, batches):
             earlier[order] = same
             yield pd.DataFrame(
                 {
-                    "h1": h1[~earlier].view("i8"), "h2": h2[~earlier].view("i8"),
+                    "h1": h1[~earlier].view("i8"), "h2": h2[~earlier],
                     "ord": orders[doc[~earlier]], "uid": uids[doc[~earlier]],
                     "start": start[~earlier].astype("i4"), "words": window, "earlier": False,
                 }
@@ -189,7 +191,7 @@ def _phrases(window: int, anchor: int, batches):
             yield pd.DataFrame(
                 {
                     # Settled: a group of its own.
-                    "h1": uids[doc[head]], "h2": start[head],
+                    "h1": uids[doc[head]], "h2": start[head].astype("i4"),
                     "ord": orders[doc[head]], "uid": uids[doc[head]],
                     "start": start[head].astype("i4"),
                     "words": (run + window - 1).astype("i4"), "earlier": True,
@@ -217,19 +219,18 @@ def _kept(text: str | None, spans) -> tuple[int, int, bytes]:
     return len(words), len(words) - len(stay), b" ".join(stay)
 
 
-def _numbered(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    others = [c for c in documents.columns if c != text_column]
-    return documents.select(
-        F.monotonically_increasing_id().alias("uid"),
-        # Rows without an id come after all others.
-        F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 63) - 1)).alias("ord"),
-        F.col(text_column).alias("text"),
-        F.struct(*others).alias("row"),
-    )
+def _named(documents: DataFrame, text_column: str) -> dict[str, str]:
+    """A plain name for each other column, so that none clashes with those used here."""
+    return {c: f"c{i}" for i, c in enumerate(documents.columns) if c != text_column}
 
 
-def factors(rows: DataFrame, texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(uid, spans): each text's factors, as start << 32 | words."""
+def factors(
+    rows: DataFrame, texts: DataFrame, id_column: str, window: int, anchor: int
+) -> DataFrame:
+    """(uid, spans): each text's factors, as start << 32 | words.
+
+    `rows` and `texts` are the same, `texts` spread by uid.
+    """
     found = rows.select("uid", "text").mapInPandas(partial(_anchors, window, anchor), _ANCHORS)
     # What its block has settled needs no company: its own text and place are its key.
     key = F.when(F.col("again"), F.xxhash64("uid", "place")).otherwise(F.col("anchor"))
@@ -237,9 +238,13 @@ def factors(rows: DataFrame, texts: DataFrame, window: int, anchor: int) -> Data
     met = found.withColumn("key", key).withColumn("n", alike)
     places = met.where(F.col("again") | ((F.col("n") > 1) & (F.col("uid") >= 0)))
     asked = places.groupBy("uid").agg(F.collect_list("place").alias("places"))
+    # Rows without an id come after all others. All columns are used, here as by the caller, so
+    # that both read one and the same shuffle of the texts.
+    order = F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 63) - 1))
+    others = [c for c in texts.columns if c not in ("uid", "text")]
     phrases = (
         texts.join(asked, "uid")
-        .select("uid", "ord", "text", "places")
+        .select("uid", order.alias("ord"), "text", "places", F.hash(*others).alias("all"))
         .mapInPandas(partial(_phrases, window, anchor), _PHRASES)
     )
     first = Window.partitionBy("h1", "h2", "earlier").orderBy("ord", "uid", "start")
@@ -257,7 +262,7 @@ def deduplicate(
     text_column: str = "text",
     keep_text: bool = True,
 ) -> DataFrame:
-    """(row, n_words, n_removed, kept): each row's other columns, and its words after removal.
+    """The columns of `documents`, then n_words, n_removed and kept.
 
     A word goes if a run of `window` words that covers it also starts earlier: under a smaller
     doc_id, or earlier in the same text. Among rows of one doc_id, the order in which they are read
@@ -269,10 +274,15 @@ def deduplicate(
     files do; write it first if it does not.
     """
     spark = documents.sparkSession
-    rows = _numbered(documents, id_column, text_column)
+    names = _named(documents, text_column)
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("uid"),
+        F.col(text_column).alias("text"),
+        *(F.col(c).alias(new) for c, new in names.items()),
+    )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = rows.repartition(n, "uid")
-    spans = factors(rows, texts, window, anchor)
+    spans = factors(rows, texts, names[id_column], window, anchor)
 
     @F.pandas_udf("n_words bigint, n_removed bigint, kept string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -284,4 +294,5 @@ def deduplicate(
         )
 
     judged = texts.join(spans, "uid", "left").withColumn("cut", cut("text", "spans"))
-    return judged.select("row", "text", "cut.n_words", "cut.n_removed", "cut.kept")
+    columns = [F.col(names.get(c, "text")).alias(c) for c in documents.columns]
+    return judged.select(*columns, "cut.n_words", "cut.n_removed", "cut.kept")
