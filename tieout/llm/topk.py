@@ -26,7 +26,7 @@ SCALE = 256
 BLOCK_ROWS = 8_192
 #: Queries that meet a block in one row.
 QUERY_ROWS = 2_048
-PAGE = 128
+PAGE = 512
 FANOUT = 16
 #: Relative slack of distances, far above their rounding and far below 1 in the score's terms.
 _SLACK = 1e-9
@@ -99,6 +99,10 @@ class Tree:
                 if not len(rows):
                     continue
                 scores = self.points[rows, :-1] @ query
+                if len(rows) > 4 * k:
+                    # All that reach the page's k-th best score, ties too.
+                    fit = scores >= np.partition(scores, len(scores) - k)[-k]
+                    rows, scores = rows[fit], scores[fit]
                 if len(best) == k:
                     # Ties with the worst stay: the smaller id decides them.
                     fit = scores >= best[0][0]
@@ -130,10 +134,10 @@ class Tree:
 def _searched(k: int, batch: pd.DataFrame) -> pd.DataFrame:
     out, held = [], (None, None, None)
     for row in batch.itertuples(index=False):
-        if held[0] != row.block:
+        if held[0] != (row.block, row.dims):
             ids = np.frombuffer(row.ids, "i8")
             vectors = np.frombuffer(row.vectors, "f8").reshape(len(ids), -1)
-            held = (row.block, Tree(vectors), ids)
+            held = ((row.block, row.dims), Tree(vectors), ids)
         _, tree, ids = held
         uids = np.frombuffer(row.uids, "i8")
         place = {u: i for i, u in enumerate(uids.tolist())}

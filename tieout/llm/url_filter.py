@@ -100,14 +100,14 @@ def merged(branches: DataFrame) -> DataFrame:
     )
     # Branches with too few labels stand alone, after those that can merge.
     known = F.col("labelled") >= MIN_LABELLED
-    share = F.col("blocked") / F.col("labelled")
+    share = F.try_divide(F.col("blocked"), F.col("labelled"))
     rows = branches.withColumns({"shape": shape, "known": known, "share": share})
     place = ["host", "shape", "known"]
     order = Window.partitionBy(*place).orderBy("share", "template")
     n, b = F.col("labelled"), F.col("blocked")
     n0, b0 = F.lag("labelled").over(order), F.lag("blocked").over(order)
-    both = (b + b0) / (n + n0)
-    error = F.sqrt(both * (1 - both) * (1 / n + 1 / n0))
+    both = F.try_divide(b + b0, n + n0)
+    error = F.sqrt(both * (1 - both) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), n0)))
     apart = F.col("share") - F.lag("share").over(order) > SIGNIFICANT * error
     opens = F.when(F.col("known") & n0.isNotNull() & ~apart, 0).otherwise(1)
     rows = rows.withColumn("opens", opens)
