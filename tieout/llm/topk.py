@@ -65,8 +65,9 @@ class Tree:
             closer = far < near
             near[closer], whose[closer] = far[closer], len(pivots) - 1
         if len(pivots) == 1:  # copies of one vector: cut anywhere
-            whose = np.arange(len(rows)) * FANOUT // len(rows)
-            pivots = [int(rows[whose == g][0]) for g in range(FANOUT)]
+            parts = min(FANOUT, len(rows))
+            whose = np.arange(len(rows)) * parts // len(rows)
+            pivots = [int(rows[whose == g][0]) for g in range(parts)]
         children = []
         for g, p in enumerate(pivots):
             own = rows[whose == g]
