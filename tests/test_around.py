@@ -100,12 +100,15 @@ def test_a_value_without_a_token_fails_the_read(spark):
 @pytest.mark.parametrize(
     "kind, text, expected",
     [("phone", "98765 43210", "+919876543210"), ("phone", "+91-98765-43210", "+919876543210"),
-     ("phone", "09876543210", "+919876543210"), ("email", " A@B.in ", "a@b.in"),
+     ("phone", "09876543210", "+919876543210"), ("phone", "+1 415 555 0100", "+14155550100"),
+     ("phone", "+91 41555 50100", "+914155550100"), ("phone", "12 34", "12 34"), ("email", " A@B.in ", "a@b.in"),
      ("pan", "abcde1234f", "ABCDE1234F")],
 )
 def test_values_are_normalised(spark, kind, text, expected):
     rows = spark.createDataFrame([(text,)], "v string")
     assert rows.select(privacy.normalise(kind, "v")).first()[0] == expected
+    flagged = rows.select(privacy.is_unreadable(kind, "v")).first()[0]
+    assert flagged == (text == "12 34")
 
 
 def test_overlapping_pulls_keep_the_latest_copy_and_a_sweep_finds_gaps(spark):

@@ -178,6 +178,15 @@ def test_a_swept_row_is_not_revived_by_its_old_incarnation(spark):
     assert row["is_deleted"] and row["status"] is None and row["source_incarnation"] == 2
 
 
+def test_a_row_deleted_before_the_sweep_is_not_revived_either(spark):
+    first = spark.createDataFrame([change("c", 800, "A"), change("d", 900, None)], SCHEMA)
+    state = cdc.apply_changes(cdc.empty_target(first, SPEC), first, SPEC, NOW)
+    swept = cdc.sweep(state, SPEC, 2, 5, NOW)
+    late = spark.createDataFrame([change("u", 950, "B")], SCHEMA)
+    row = cdc.apply_changes(swept, late, SPEC, NOW).first()
+    assert row["is_deleted"] and row["status"] is None and row["source_lsn"] == 5
+
+
 def test_a_failed_batch_leaves_the_stored_table_as_it_was(spark, store):
     good = spark.createDataFrame([change("c", 10, "A", "x")], SCHEMA)
     bad = spark.createDataFrame([change("t", 20), change("u", 30, "B", key="L2")], SCHEMA)

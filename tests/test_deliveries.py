@@ -5,6 +5,7 @@ from datetime import UTC, date, datetime, timedelta
 
 import pytest
 
+from tieout import fixed_values as V
 from tieout.model import POINTER, REGISTER, FeedContract
 from tieout.operators import deliveries as D
 from tieout.plans import file_delivery as jobs
@@ -280,3 +281,31 @@ def test_text_is_typed_without_guessing(spark):
     got = D.parse_strict(rows, {"amount": "bigint"}).collect()
     assert [r["amount"] for r in got] == [12, -7, None, None, None, None, None]
     assert [r["problems"] == "" for r in got] == [True, True, False, False, False, False, True]
+
+
+def test_unsafe_names_and_reused_file_ids_are_refused(spark):
+    columns = (
+        "arrival int, file_id string, file_hash string, partner string, feed string, "
+        "posting_date date, sequence_number bigint, part_number int, problems string"
+    )
+    day = date(2026, 3, 2)
+    parts = spark.createDataFrame(
+        [
+            (1, "f1", "a", "acme", "s", day, 1, 1, ""), (2, "f1", "b", "acme", "s", day, 1, 1, ""),
+            (3, "f1", "a", "acme", "s", day, 1, 1, ""), (4, "f2", "c", "p q", "s", day, 1, 2, ""),
+            (5, "f3", "d", "acme", "s", day, 1, 3, "bad"), (6, "f3", "e", "acme", "s", day, 1, 3, ""),
+            (7, "f 4", "g", "acme", "", day, 1, 4, "bad"), (8, "f9", "h", "acme", "s", day, 1, 5, ""),
+        ],
+        columns,
+    )
+    register = spark.createDataFrame(
+        [("f9", "old", "acme", "s", day, 1, 5, "PUBLISHED"), ("f2", "x", "acme", "s", day, 1, 9, "REJECTED")],
+        "file_id string, file_hash string, partner string, feed string, posting_date date, "
+        "sequence_number bigint, part_number int, state string",
+    )
+    found = {r["arrival"]: r["problems"] for r in D.refuse(parts, register, V.IDENTIFIERS).collect()}
+    taken = "file id is taken by another file"
+    assert found == {
+        1: "", 2: taken, 3: "", 4: "unsafe partner", 5: "bad", 6: "", 7: "bad; unsafe feed, file_id",
+        8: taken,
+    }

@@ -5,6 +5,8 @@ from datetime import UTC, date, datetime, timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tieout.model import MANIFEST, RELEASES
 from tieout.operators import gate, gold, release, serving
 from tieout.plans import gate_publish as jobs
@@ -246,3 +248,15 @@ def test_only_a_published_version_is_copied(spark):
     assert log.count() == 1
     copy, log = serving.load_copy(rows, manifest, releases, "fact", 2, NOW)
     assert copy.count() == 0 and log.count() == 0
+
+
+def test_rows_without_a_key_or_a_date_hold_a_build(spark):
+    rows = fact(spark, BASE)
+    undated = rows.withColumn("business_date", F.lit(None).cast("date"))
+    assert {r[0] for r in gate.unusable_reasons(undated, KEYS, "reference").collect()} == {
+        f"reference: {rows.count()} rows without business_date"
+    }
+    kept = gate.in_window(undated, [DAY1])
+    assert kept.count() == rows.count()
+    found = [r[0] for r in gate.reasons(kept, rows, inputs(spark), KEYS).collect()]
+    assert f"candidate: {rows.count()} rows without business_date" in found

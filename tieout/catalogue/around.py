@@ -69,20 +69,17 @@ def flatten_changes(spark, sf):
 
 @query(
     "bronze_route",
-    """SELECT event_type AS source_table, strftime(ts, '%Y-%m-%d-%H') AS ingest_hour,
+    """SELECT CASE WHEN event_type IN ('signup', 'view', 'click') THEN event_type
+            ELSE 'unrouted' END AS routed_to, strftime(ts, '%Y-%m-%d-%H') AS ingest_hour,
        count(*) AS changes
 FROM events GROUP BY ALL""",
 )
 def route(spark, sf):
-    changes = S.changes(spark, sf).withColumn("source_table", F.col("status"))
-    routed = bronze.route(changes, ("signup", "error", "view", "click", "purchase"))
-    out = None
-    for rows in routed.values():
-        one = bronze.with_ingest_hour(rows).groupBy("source_table", "ingest_hour").agg(
-            F.count(F.lit(1)).alias("changes")
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Some tables are not captured, and errors carry no table at all."""
+    table = F.when(F.col("status") != "error", F.col("status"))
+    changes = S.changes(spark, sf).withColumn("source_table", table)
+    routed = bronze.with_ingest_hour(bronze.route(changes, ("signup", "view", "click")))
+    return routed.groupBy("routed_to", "ingest_hour").agg(F.count(F.lit(1)).alias("changes"))
 
 
 def _raw_props(spark, sf):
@@ -220,22 +217,29 @@ def tokenise(spark, sf):
 @query(
     "privacy_normalise",
     """SELECT c_custkey,
-       '+91' || lpad(CAST(9000000000 + c_custkey AS VARCHAR), 10, '0') AS phone,
+       CASE c_mktsegment WHEN 'FURNITURE' THEN '+1' || (9000000000 + c_custkey)
+                         WHEN 'HOUSEHOLD' THEN (c_custkey % 1000) || ' 12'
+                         ELSE '+91' || (9000000000 + c_custkey) END AS phone,
+       c_mktsegment = 'HOUSEHOLD' AS phone_unreadable,
        lower(c_name) || '@example.com' AS email, upper(c_name) AS pan
 FROM customer""",
 )
 def normalise(spark, sf):
-    """Phones, emails and PANs as people write them, from the customer table."""
+    """Phones, also foreign and short ones, emails and PANs as people write them."""
     number = (F.lit(9_000_000_000) + F.col("c_custkey")).cast("string")
     local = F.concat(F.lit(" "), F.left(number, F.lit(5)), F.lit("-"), F.right(number, F.lit(5)))
+    segment = F.col("c_mktsegment")
+    written = (
+        F.when(segment == "BUILDING", F.concat(F.lit("+91"), local))
+        .when(segment == "MACHINERY", F.concat(F.lit("0"), number))
+        .when(segment == "FURNITURE", F.concat(F.lit("+1"), local))
+        .when(segment == "HOUSEHOLD", F.concat((F.col("c_custkey") % 1000).cast("string"), F.lit(" 12 ")))
+        .otherwise(local)
+    )
     return given(spark, sf, "customer").select(
         "c_custkey",
-        privacy.normalise(
-            "phone",
-            F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("+91"), local))
-            .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("0"), number))
-            .otherwise(local),
-        ).alias("phone"),
+        privacy.normalise("phone", written).alias("phone"),
+        privacy.is_unreadable("phone", written).alias("phone_unreadable"),
         privacy.normalise("email", F.concat("c_name", F.lit("@Example.COM "))).alias("email"),
         privacy.normalise("pan", F.lower("c_name")).alias("pan"),
     )

@@ -254,7 +254,7 @@ def base_load(spark, sf):
   FROM changes
   UNION ALL
   SELECT loan_id, NULL, NULL, NULL, 'd', 2, 1
-  FROM before_sweep WHERE source_incarnation < 2 AND NOT is_deleted),
+  FROM before_sweep WHERE source_incarnation < 2),
 """
     + state_after("true", "swept", "with_sweep")
     + f" SELECT {STATE} FROM swept",

@@ -56,6 +56,36 @@ SECOND_OPEN = """opened AS (
 
 # ---- receiving
 
+
+@query(
+    "deliveries_receive_refuses",
+    ctes(ROWS, PARTS)
+    + """SELECT file_id, partner, 1 AS attempt,
+       CASE WHEN sequence_number = 2 THEN 'unsafe partner' ELSE '' END AS problems FROM
+  (SELECT file_id, sequence_number,
+          CASE WHEN sequence_number = 2 THEN partner || ' x' ELSE partner END AS partner FROM parts)
+UNION ALL
+SELECT file_id, partner, 2,
+       CASE WHEN sequence_number = 2 THEN '' ELSE 'file id is taken by another file' END
+FROM parts""",
+)
+def receive_refuses(spark, sf):
+    """Every part twice, the second time with other bytes; first second versions are misnamed."""
+    parts = S.file_parts(spark, sf).withColumn("problems", F.lit(""))
+    odd = F.col("sequence_number") == 2
+    misnamed = F.when(odd, F.concat("partner", F.lit(" x"))).otherwise(F.col("partner"))
+    first = parts.withColumns({"partner": misnamed, "attempt": F.lit(1)})
+    first = first.withColumn("problems", F.when(odd, "of old").otherwise(F.lit("")))
+    again = parts.withColumns({"file_hash": F.md5("file_hash"), "attempt": F.lit(2)})
+    both = first.unionByName(again).withColumn(
+        "arrival", F.concat_ws("#", F.col("attempt").cast("string"), "file_id")
+    )
+    nothing = S.staged_register(spark, sf).limit(0)
+    refused = D.refuse(both, nothing, V.IDENTIFIERS)
+    text = F.regexp_replace("problems", "^of old(; )?", "")
+    return refused.select("file_id", "partner", "attempt", text.alias("problems"))
+
+
 LINE_FEED = FeedContract(keys=("settlement_id",))
 
 

@@ -220,6 +220,27 @@ def reasons_inputs_first(spark, sf):
     )
 
 
+@query(
+    "gate_reasons_unusable",
+    ctes(FACT)
+    + """SELECT 'candidate: ' || count(*) || ' rows without amount_paise' AS reason
+FROM fact WHERE status = 'PARTIALLY_SETTLED' HAVING count(*) > 0
+UNION ALL
+SELECT 'reference: ' || count(*) || ' rows without business_date' FROM fact
+WHERE business_line = '5-LOW' HAVING count(*) > 0""",
+)
+def reasons_unusable(spark, sf):
+    """Rows without an amount, and rows whose missing date would leave every window."""
+    fact = S.fact(spark, sf)
+    amount = F.when(F.col("status") != "PARTIALLY_SETTLED", F.col("amount_paise"))
+    day = F.when(F.col("business_line") != "5-LOW", F.col("business_date"))
+    found = gate.reasons(
+        fact.withColumn("amount_paise", amount), fact.withColumn("business_date", day),
+        _delivery_inputs(spark, sf).where("complete"), S.FACT_KEYS,
+    )
+    return found.where(F.col("reason").rlike("^(candidate|reference): "))
+
+
 @query("gate_reasons", BROKEN + f"SELECT {REASON} AS reason FROM broken")
 def reasons(spark, sf):
     """Every input is there; the candidate holds because it does not tie."""

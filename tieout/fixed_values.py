@@ -19,12 +19,17 @@ CUT_RETENTION_DAYS = 7
 # Identifiers a partner may send, matched against the whole value.
 SAFE_IDENTIFIER = r"\A[A-Za-z0-9][A-Za-z0-9._:-]*\z"
 
+# Columns of a part that must hold safe identifiers.
+IDENTIFIERS = ("partner", "feed", "file_id")
+
 # States of a received file part.
 STAGED = "STAGED"
 REJECTED = "REJECTED"
 DUPLICATE = "DUPLICATE"
 PUBLISHED = "PUBLISHED"
 SUPERSEDED = "SUPERSEDED"
+# States of a part that was accepted.
+RECEIVED = (STAGED, PUBLISHED, SUPERSEDED)
 # Verdicts on a requested version, besides PUBLISHED and SUPERSEDED.
 INCOMPLETE = "INCOMPLETE"
 HELD_FOR_APPROVAL = "HELD_FOR_APPROVAL"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNPARSED = "unparsed"
+UNROUTED = "unrouted"
 
 
 def envelope_schema(row: T.StructType) -> T.StructType:
@@ -54,9 +55,13 @@ def flatten_changes(
     )
 
 
-def route(changes: DataFrame, tables: Sequence[str]) -> Mapping[str, DataFrame]:
-    """The changes of each captured table."""
-    return {t: changes.where(F.col("source_table") == t) for t in tables}
+def route(changes: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Adds `routed_to`, the partition a change is written to, in one pass.
+
+    A change whose table is missing or not captured goes to `unrouted`, where it can be looked at.
+    """
+    captured = F.when(F.col("source_table").isin(*tables), F.col("source_table"))
+    return changes.withColumn("routed_to", F.coalesce(captured, F.lit(UNROUTED)))
 
 
 def with_ingest_hour(changes: DataFrame) -> DataFrame:

@@ -151,20 +151,21 @@ def sweep(
 ) -> DataFrame:
     """Tombstone the rows that a finished re-snapshot did not contain.
 
-    The tombstone takes the new incarnation's starting position, so that no leftover change of
-    an older incarnation can revive it.
+    Every row of an older incarnation, also one deleted before, takes the new incarnation's
+    starting position, so that no leftover change of an older incarnation can revive it.
     """
     instant = F.current_timestamp() if updated_at is None else F.lit(updated_at)
-    gone = (F.col("source_incarnation") < incarnation) & ~F.col("is_deleted")
+    older = F.col("source_incarnation") < incarnation
+    gone = older & ~F.col("is_deleted")
     return target.withColumns(
         {
             **{c: F.when(~gone, F.col(c)) for c in spec.values},
             "updated_at": F.when(gone, instant).otherwise(F.col("updated_at")),
             "is_deleted": F.col("is_deleted") | gone,
-            "source_lsn": F.when(gone, F.lit(slot_position).cast("bigint")).otherwise(
+            "source_lsn": F.when(older, F.lit(slot_position).cast("bigint")).otherwise(
                 F.col("source_lsn")
             ),
-            "source_incarnation": F.when(gone, F.lit(incarnation).cast("int")).otherwise(
+            "source_incarnation": F.when(older, F.lit(incarnation).cast("int")).otherwise(
                 F.col("source_incarnation")
             ),
         }

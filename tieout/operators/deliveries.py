@@ -21,7 +21,7 @@ from tieout.model import DELIVERY, VERSION, FeedContract
 from tieout.operators import pointer as P
 
 SLOT = (*VERSION, "part_number")
-_RECEIVED = (V.STAGED, V.PUBLISHED, V.SUPERSEDED)
+_RECEIVED = V.RECEIVED
 _USABLE = (V.STAGED, V.PUBLISHED)
 
 
@@ -86,6 +86,38 @@ def check_parts(rows: DataFrame, parts: DataFrame, contract: FeedContract) -> Da
     return checked.select(*parts.columns, F.array_join(listed, "; ").alias("problems"))
 
 
+def refuse(parts: DataFrame, register: DataFrame, identifiers: Sequence[str]) -> DataFrame:
+    """Checked parts with two more problems: an unsafe identifier, and a file id already taken.
+
+    A file id names one set of bytes in one place. It is taken by an accepted part of the register,
+    or by the first whole part of this batch; under it, other bytes or another place are refused.
+    """
+    unsafe = F.array_compact(
+        F.array(*(F.when(~is_safe_identifier(c), F.lit(c)) for c in identifiers))
+    )
+    content = F.struct("file_hash", *SLOT)
+    held = register.where(F.col("state").isin(*_RECEIVED))
+    held = held.groupBy("file_id").agg(F.max(content).alias("held"))
+    first = (
+        parts.where(F.col("problems") == "")
+        .groupBy("file_id")
+        .agg(F.min(F.struct("arrival", content.alias("content"))).alias("first"))
+    )
+    met = parts.join(held, "file_id", "left").join(first, "file_id", "left")
+    after_first = F.col("arrival") > F.col("first.arrival")
+    taken = (F.col("held").isNotNull() & (F.col("held") != content)) | (
+        F.col("held").isNull() & after_first & (F.col("first.content") != content)
+    )
+    found = F.array_compact(
+        F.array(
+            F.when(F.col("problems") != "", F.col("problems")),
+            F.when(F.size(unsafe) > 0, F.concat(F.lit("unsafe "), F.array_join(unsafe, ", "))),
+            F.when(taken, F.lit("file id is taken by another file")),
+        )
+    )
+    return met.withColumn("problems", F.array_join(found, "; ")).select(*parts.columns)
+
+
 def unsafe_identifiers(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Parts with an identifier outside the allowed characters, and which columns are bad."""
     bad = F.array_compact(F.array(*(F.when(~is_safe_identifier(c), F.lit(c)) for c in columns)))
@@ -338,17 +370,17 @@ def settle_register(register: DataFrame, verdicts: DataFrame, pointer: DataFrame
 
 
 def current_rows(rows: DataFrame, pointer: DataFrame) -> DataFrame:
-    """Rows of the current version of every delivery."""
+    """What counts now: of each delivery the version whose pointer row is open."""
     return _of_versions(rows, pointer.where(P.is_open()))
 
 
 def as_known_at(rows: DataFrame, pointer: DataFrame, moment: datetime) -> DataFrame:
-    """Rows of whichever version was current at that instant (timezone-aware)."""
+    """What counted then: versions whose pointer row covers `moment`, which needs a time zone."""
     return _of_versions(rows, pointer.where(P.held_at(moment)))
 
 
 def input_status(required: DataFrame, pointer: DataFrame) -> DataFrame:
-    """A delivery is complete for the gate once some version of it is current."""
+    """Required deliveries as inputs of the gate; one without an open pointer row is missing."""
     present = P.current(pointer, DELIVERY, "sequence_number")
     complete = F.col("sequence_number").isNotNull()
     missing = F.concat(F.lit("no version for "), F.col("posting_date").cast("string"))

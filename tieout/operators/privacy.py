@@ -13,13 +13,12 @@ from tieout.durable import materialise
 
 
 def normalise(kind: str, value: Column | str) -> Column:
-    """One spelling per real value: phones as +91…, emails in lower case, PANs in upper case."""
+    """One spelling per real value: phones with their country code, emails in lower case, PANs in
+    upper case. A phone that `is_unreadable` keeps its text, so it never shares a token.
+    """
     value = F.trim(F.col(value) if isinstance(value, str) else value)
     if kind == "phone":
-        digits = F.regexp_replace(value, r"[^0-9]", "")
-        return F.when(F.length(digits) < 10, digits).otherwise(
-            F.concat(F.lit("+91"), F.right(digits, F.lit(10)))
-        )
+        return F.coalesce(_international(value), value)
     if kind == "email":
         return F.lower(value)
     if kind == "pan":
@@ -27,6 +26,24 @@ def normalise(kind: str, value: Column | str) -> Column:
     return value
 
 
+def is_unreadable(kind: str, value: Column | str) -> Column:
+    """Whether a value has no normal form and needs a person to look at it."""
+    value = F.trim(F.col(value) if isinstance(value, str) else value)
+    if kind == "phone":
+        return value.isNotNull() & _international(value).isNull()
+    return F.lit(False)
+
+
+def _international(phone: Column) -> Column:
+    """A national number, bare or after 0 or 91, under +91; any other country's as written."""
+    digits = F.regexp_replace(phone, r"[^0-9]", "")
+    national = F.regexp_extract(digits, r"^(?:0|91)?([0-9]{10})$", 1)
+    abroad = F.startswith(phone, F.lit("+")) & ~F.startswith(digits, F.lit("91"))
+    return F.when(
+        abroad, F.when(F.length(digits).between(8, 15), F.concat(F.lit("+"), digits))
+    ).when(national != "", F.concat(F.lit("+91"), national))
+
+
 def tokenise(
     rows: DataFrame, column: str, kind: str, vault: DataFrame
 ) -> tuple[DataFrame, DataFrame]:

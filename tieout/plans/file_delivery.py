@@ -34,9 +34,8 @@ def receive(
     """
     register = store.control("register")
     load_id = (register.agg(F.max("load_id")).first()[0] or 0) + 1
-    decided = materialise(
-        D.classify_arrivals(D.check_parts(rows, parts, contract), register)
-    )
+    checked = D.refuse(D.check_parts(rows, parts, contract), register, V.IDENTIFIERS)
+    decided = materialise(D.classify_arrivals(checked, register))
     tagged = D.tag_rows(rows, decided.where(F.col("state") == V.STAGED))
     # Clustered so that row-group statistics skip other dates; a partner that sends a third of
     # the rows is split into files of the usual size.
@@ -44,7 +43,18 @@ def receive(
     clustered.write.mode("overwrite").partitionBy("partner").parquet(
         f"{store.root}/rows/{table}/load_id={load_id}"
     )
-    recorded = decided.where(F.col("state") != V.DUPLICATE).withColumns(
+    # A refused part never replaces the accepted file whose id it used.
+    accepted = register.where(F.col("state").isin(*V.RECEIVED)).select("file_id").unionByName(
+        decided.where(F.col("state") == V.STAGED).select("file_id")
+    )
+    refused = F.col("state") == V.REJECTED
+    news = decided.where(F.col("state") == V.STAGED).unionByName(
+        decided.where(refused)
+        .join(accepted, "file_id", "left_anti")
+        .dropDuplicates(["file_id"])
+        .select(*decided.columns)
+    )
+    recorded = news.withColumns(
         {
             "reason": F.col("problems"),
             "registered_at": F.lit(now),

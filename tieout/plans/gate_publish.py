@@ -70,12 +70,10 @@ def publish_or_hold(
     """Publish the candidate if its inputs are complete and it ties to the pinned reference."""
     log = store.control("releases")
     mine = log.where((F.col("table_name") == table) & (F.col("release_id") == release_id)).first()
-    reasons = materialise(gate.incomplete_inputs(inputs).select("reason"))
-    if reasons.isEmpty():  # else the comparison, the costly part, would say nothing yet
-        dates = [date.fromisoformat(s) for s in mine["slices"]]
-        built = gate.cell_totals(candidate_rows(store, table, release_id, schema), keys)
-        pinned = gate.cell_totals(gate.in_window(reference, dates), keys)
-        reasons = materialise(gate.breaks(built, pinned).select("reason"))
+    dates = [date.fromisoformat(s) for s in mine["slices"]]
+    built = candidate_rows(store, table, release_id, schema)
+    # Incomplete inputs come alone, without the costly comparison.
+    reasons = materialise(gate.reasons(built, gate.in_window(reference, dates), inputs, keys))
     if not reasons.isEmpty():
         _move(store, table, release_id, V.HELD, None)
         return GateResult(False, reasons)
