@@ -26,6 +26,8 @@ SAMPLE_TEXTS = 1_500
 MAX_CONTEXTS = 20_000
 UNDETERMINED = "und"
 _BYTES = 256
+#: Characters whose bytes are counted at a time; each takes some 60 bytes of memory.
+_COUNTED_CHARS = 1_000_000
 
 
 @dataclass
@@ -154,7 +156,7 @@ def _count(max_order: int, languages: list[str], batch: pd.DataFrame) -> pd.Data
     number = {x: i for i, x in enumerate(languages)}
     out = []
     for lang, texts in batch.groupby("lang")["text"]:
-        for low, high in blocks(list(texts)):
+        for low, high in blocks(list(texts), _COUNTED_CHARS):
             grams: dict[int, list[np.ndarray]] = {k: [] for k in range(max_order + 1)}
             for text in texts.iloc[low:high]:
                 line = np.frombuffer(text.encode(), np.uint8).astype(np.int64)
