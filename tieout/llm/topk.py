@@ -212,17 +212,22 @@ def top_k(
         rows.select("vec_id", whole.alias("v"), F.monotonically_increasing_id().alias("uid")),
         "vectors",
     )
-    blocks, _ = _packs(rows, BLOCK_ROWS)
+    blocks, n = _packs(rows, BLOCK_ROWS)
     asked, packs = _packs(rows.where(is_query), QUERY_ROWS)
-    # A block goes to each pack of queries: packs are named by number, not paired by a cross join.
+    # Each block meets each pack of queries, by their numbers; both travel to the meeting, so that
+    # meetings spread over tasks however few rows they are.
     sent = blocks.withColumnRenamed("part", "block").withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(packs - 1)))
     )
     asked = asked.select(
         "part", "dims", F.col("ids").alias("query_ids"), F.col("uids").alias("query_uids"),
         F.col("vectors").alias("query_vectors"),
+        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"),
     )
-    met = sent.join(asked, ["part", "dims"])
+    meeting = ["block", "part", "dims"]
+    shuffles = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(n * packs, 4 * shuffles)
+    met = sent.repartition(tasks, *meeting).join(asked.repartition(tasks, *meeting), meeting)
     found = map_batches(
         met, partial(_searched, k),
         "query_uid bigint, query_id bigint, vec_id bigint, uid bigint, score bigint",
