@@ -13,7 +13,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if named is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tieout-checkpoint-"))
     elif named is not None and context.getCheckpointDir() is None:
