@@ -16,10 +16,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture
-def store(spark, tmp_path):
-    from tieout.sources.store import Store
-
-    return Store(spark, str(tmp_path / "store"))

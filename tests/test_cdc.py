@@ -187,23 +187,25 @@ def test_a_row_deleted_before_the_sweep_is_not_revived_either(spark):
     assert row["is_deleted"] and row["status"] is None and row["source_lsn"] == 5
 
 
-def test_a_failed_batch_leaves_the_stored_table_as_it_was(spark, store):
+def test_a_failed_batch_fails_before_there_is_a_next_state(spark):
     good = spark.createDataFrame([change("c", 10, "A", "x")], SCHEMA)
     bad = spark.createDataFrame([change("t", 20), change("u", 30, "B", key="L2")], SCHEMA)
-    merge.merge_batch(store, "loan", SPEC, good, NOW, buckets=4)
+    state = merge.merge_batch(cdc.empty_target(good, SPEC), SPEC, good, NOW)
     with pytest.raises(Exception, match="unsupported"):
-        merge.merge_batch(store, "loan", SPEC, bad, NOW, buckets=4)
-    rows = store.read("loan", merge.target_schema(good, SPEC)).collect()
-    assert [(r["loan_id"], r["status"]) for r in rows] == [("L1", "A")]
+        merge.merge_batch(state, SPEC, bad, NOW)
+    with pytest.raises(Exception, match="unsupported"):
+        merge.upserts(state, SPEC, bad, NOW)
+    assert [(r["loan_id"], r["status"]) for r in state.collect()] == [("L1", "A")]
 
 
-def test_a_merge_rewrites_only_the_buckets_it_touches(spark, store):
+def test_upserts_are_the_rows_of_the_batch_alone(spark):
     many = spark.createDataFrame([change("c", 10, "A", key=f"L{i}") for i in range(50)], SCHEMA)
-    merge.merge_batch(store, "loan", SPEC, many, NOW, buckets=16)
-    one = spark.createDataFrame([change("u", 20, "B", key="L7")], SCHEMA)
-    second = merge.merge_batch(store, "loan", SPEC, one, NOW, buckets=16)
-    schema = merge.target_schema(one, SPEC)
-    written = store.release_rows("loan", second, schema)
-    assert written.select("slice").distinct().count() == 1
-    rows = {r["loan_id"]: r["status"] for r in store.read("loan", schema).collect()}
-    assert len(rows) == 50 and rows["L7"] == "B" and rows["L8"] == "A"
+    state = merge.merge_batch(cdc.empty_target(many, SPEC), SPEC, many, NOW)
+    some = [change("u", 20, "B", key="L7"), change("u", 5, "old", key="L8"),
+            change("c", 1, "new", key="M1")]
+    batch = spark.createDataFrame(some, SCHEMA)
+    put = merge.upserts(state, SPEC, batch, NOW)
+    assert {r["loan_id"]: r["status"] for r in put.collect()} == {"L7": "B", "L8": "A", "M1": "new"}
+    whole = merge.merge_batch(state, SPEC, batch, NOW)
+    rest = state.join(put, "loan_id", "left_anti")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, rest.unionByName(put).collect()))

@@ -4,8 +4,9 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tieout.model import TRANSACTIONS, MergeSpec
-from tieout.operators import cdc
+from tieout.durable import materialise
+from tieout.model import CUTS, MANIFEST, TRANSACTIONS, MergeSpec
+from tieout.operators import cdc, release
 from tieout.operators import cut as C
 from tieout.plans import cut_advance, merge
 
@@ -123,64 +124,94 @@ LOANS = MergeSpec(("loan_id",), ("status",))
 LINES = MergeSpec(("entry_id",), ("amount_paise",))
 
 
-def bronze(spark, loans, lines):
-    at = T0 + timedelta(minutes=1)
-    loan_rows = [(k, "A", "c", 1, lsn, t, at) for k, lsn, t in loans]
-    line_rows = [(k, 100, "c", 1, lsn, t, at) for k, lsn, t in lines]
-    tail = "op string, source_incarnation int, source_lsn bigint, transaction_id string, ingest_ts timestamp"
-    return {
-        LOAN: cut_advance.CapturedTable(
-            spark.createDataFrame(loan_rows, f"loan_id string, status string, {tail}"), "loan", LOANS
-        ),
-        LEDGER: cut_advance.CapturedTable(
-            spark.createDataFrame(line_rows, f"entry_id string, amount_paise bigint, {tail}"),
-            "ledger", LINES,
-        ),
-    }
-
-
-def test_tables_advance_together_and_past_cuts_stay_readable(spark, store):
+class Lake:
+    """Keeps what each advance returns, rows under their release."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.cuts, self.manifest = spark.createDataFrame([], CUTS), spark.createDataFrame([], MANIFEST)
+        self.rows, self.number = {}, 0
+
+    def tables(self, loans, lines):
+        at = T0 + timedelta(minutes=1)
+        tail = ("op string, source_incarnation int, source_lsn bigint, transaction_id string, "
+                "ingest_ts timestamp")
+        loan = self.spark.createDataFrame(
+            [(k, "A", "c", 1, lsn, t, at) for k, lsn, t in loans],
+            f"loan_id string, status string, {tail}")
+        line = self.spark.createDataFrame(
+            [(k, 100, "c", 1, lsn, t, at) for k, lsn, t in lines],
+            f"entry_id string, amount_paise bigint, {tail}")
+        return {
+            name: cut_advance.CapturedTable(rows, table, spec, self.state(table, rows, spec))
+            for name, rows, table, spec in (
+                (LOAN, loan, "loan", LOANS), (LEDGER, line, "ledger", LINES))
+        }
+
+    def state(self, table, changes, spec):
+        if table not in self.rows:
+            return cdc.empty_target(changes, spec)
+        head = release.read(self.rows[table], self.manifest, table)
+        return head.drop("slice", "release_id")
+
+    def keep(self, table, state):
+        placed = state.withColumns(
+            {"slice": F.lit("all"), "release_id": F.lit(self.number).cast("bigint")})
+        old = self.rows.get(table)
+        if old is not None:
+            placed = old.where(F.col("release_id") != self.number).unionByName(placed)
+        self.rows[table] = materialise(placed)
+        pointed = self.spark.createDataFrame(
+            [(table, "all", self.number)], "table_name string, slice string, release_id bigint")
+        self.manifest = materialise(release.publish(self.manifest, pointed, NOW))
+
+    def advance(self, e, loans, lines):
+        moved = cut_advance.advance(
+            self.cuts, "db", e, self.tables(loans, lines), self.number + 1, NOW)
+        if moved is None:
+            return None
+        self.number += 1
+        for table, state in moved.states.items():
+            self.keep(table, state)
+        self.cuts = moved.cuts
+        return moved.cut
+
+
+def test_tables_advance_together_and_past_cuts_stay_readable(spark):
     e = ends(spark, (1, "t1", {LOAN: 1, LEDGER: 2}), (2, "t2", {LOAN: 1, LEDGER: 1}))
     loans = [("L1", 10, "t1"), ("L2", 20, "t2")]
+    lake = Lake(spark)
 
-    def run(lines):
-        return cut_advance.advance(
-            store, "db", e, bronze(spark, loans, lines), NOW, buckets=2
-        )
-
-    def at(table, spec, schema_of, position):
-        schema = merge.target_schema(schema_of, spec)
-        rows = cut_advance.read_at(store, table, schema, "db", position)
+    def at(table, position):
+        rows = C.read_at(lake.rows[table], lake.manifest, lake.cuts, table, "db", position)
         return cdc.live_rows(rows).count()
 
-    assert run([("E1", 11, "t1")]) is None
-    first = run([("E1", 11, "t1"), ("E2", 12, "t1")])
+    assert lake.advance(e, loans, [("E1", 11, "t1")]) is None
+    first = lake.advance(e, loans, [("E1", 11, "t1"), ("E2", 12, "t1")])
     assert first["transaction_id"] == "t1"
     everything = [("E1", 11, "t1"), ("E2", 12, "t1"), ("E3", 21, "t2"), ("E3", 21, "t2")]
-    second = run(everything)
+    second = lake.advance(e, loans, everything)
     assert second["transaction_id"] == "t2"
-    assert run(everything) is None
-    tables = bronze(spark, loans, everything)
-    loan_rows, line_rows = tables[LOAN].bronze, tables[LEDGER].bronze
-    assert at("loan", LOANS, loan_rows, 1) == 1
-    assert at("ledger", LINES, line_rows, 1) == 2
-    assert at("loan", LOANS, loan_rows, 2) == 2
-    assert at("ledger", LINES, line_rows, 2) == 3
+    assert lake.advance(e, loans, everything) is None
+    assert at("loan", 1) == 1
+    assert at("ledger", 1) == 2
+    assert at("loan", 2) == 2
+    assert at("ledger", 2) == 3
 
 
-def test_a_run_that_died_before_its_cut_was_recorded_is_run_again(spark, store):
+def test_a_run_that_died_before_its_cut_was_recorded_is_run_again(spark):
     e = ends(spark, (1, "t1", {LOAN: 1, LEDGER: 1}))
-    tables = bronze(spark, [("L1", 10, "t1")], [("E1", 11, "t1")])
-    only_loan = tables[LOAN]
-    merge.merge_batch(store, "loan", LOANS, only_loan.bronze, NOW, buckets=2)  # then it died
-    assert cut_advance.advance(store, "db", e, tables, NOW, buckets=2)["position"] == 1
-    schema = merge.target_schema(only_loan.bronze, LOANS)
-    assert store.read("loan", schema).count() == 1
+    loans, lines = [("L1", 10, "t1")], [("E1", 11, "t1")]
+    lake = Lake(spark)
+    loan = lake.tables(loans, lines)[LOAN]
+    lake.number = 1
+    lake.keep("loan", merge.merge_batch(loan.state, LOANS, loan.bronze, NOW))  # then it died
+    lake.number = 0
+    assert lake.advance(e, loans, lines)["position"] == 1
+    assert release.read(lake.rows["loan"], lake.manifest, "loan").count() == 1
 
 
 def test_a_cut_expires_after_a_week(spark):
-    from tieout.model import CUTS
-
     rows = [("db", i, f"t{i}", T0, "loan", i, NOW - timedelta(days=d, minutes=1))
             for i, d in enumerate((6, 7))]
     kept = C.unexpired(spark.createDataFrame(rows, CUTS), NOW).collect()

@@ -7,7 +7,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tieout.model import MANIFEST, RELEASES
+from tieout.durable import materialise
+from tieout.model import MANIFEST, RELEASES, TAGS
 from tieout.operators import gate, gold, release, serving
 from tieout.plans import gate_publish as jobs
 
@@ -30,32 +31,48 @@ def inputs(spark, *rows):
 
 
 class Gold:
-    def __init__(self, spark, store):
-        self.spark, self.store = spark, store
+    """Builds and gates one fact, and keeps what the jobs return."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.releases, self.manifest, self.tags = (
+            spark.createDataFrame([], schema) for schema in (RELEASES, MANIFEST, TAGS)
+        )
+        self.rows = spark.createDataFrame([], f"{FACT}, slice string, release_id bigint")
 
     def build(self, rows, dates=(DAY1, DAY2), label=None):
-        return jobs.write_candidate(
-            self.store, "fact", fact(self.spark, rows), dates, label or {"db": "1"}, NOW
+        made = jobs.build_candidate(
+            self.releases, "fact", fact(self.spark, rows), dates, label or {"db": "1"}, NOW
         )
+        self.rows = materialise(self.rows.unionByName(made.rows))
+        self.releases = materialise(made.releases)
+        return made.release_id
+
+    def candidate(self, release_id):
+        return self.rows.where(F.col("release_id") == release_id)
 
     def check(self, release_id, reference, held_by=()):
-        schema = fact(self.spark, BASE).schema
-        return jobs.publish_or_hold(
-            self.store, "fact", release_id, schema, KEYS, inputs(self.spark, *held_by),
-            fact(self.spark, reference), NOW,
+        result = jobs.publish_or_hold(
+            self.releases, self.manifest, "fact", release_id, self.candidate(release_id), KEYS,
+            inputs(self.spark, *held_by), fact(self.spark, reference), NOW,
         )
+        self.releases, self.manifest = materialise(result.releases), materialise(result.manifest)
+        return result
+
+    def read(self, release_id=None, between=None):
+        return release.read(self.rows, self.manifest, "fact", release_id, between)
 
     def publish(self, rows, reference=None, **how):
         return self.check(self.build(rows, **how), rows if reference is None else reference)
 
     def live(self):
-        rows = self.store.read("fact", fact(self.spark, BASE).schema).collect()
+        rows = self.read().collect()
         return sorted((r["txn_id"], r["amount_paise"]) for r in rows)
 
 
 @pytest.fixture
-def golden(spark, store):
-    return Gold(spark, store)
+def golden(spark):
+    return Gold(spark)
 
 
 def reasons(result):
@@ -79,14 +96,13 @@ def test_an_incomplete_input_holds_and_keeps_the_candidate(golden):
         "input not complete: north.settlement (no version for 2026-03-02)"
     ]
     assert golden.live() == [("t0", 1)]
-    schema = fact(golden.spark, BASE).schema
-    assert jobs.candidate_rows(golden.store, "fact", built, schema).count() == 3
+    assert golden.candidate(built).count() == 3
 
 
 def test_a_clean_build_goes_live_with_its_label(golden):
     assert golden.publish(BASE, label={"lending": "120"}).published
     assert len(golden.live()) == 3
-    row = release.label(golden.store.control("releases")).first()
+    row = release.label(golden.releases).first()
     assert (row["source"], row["at"]) == ("lending", "120")
 
 
@@ -126,9 +142,19 @@ def test_a_build_on_an_old_head_is_refused(golden):
 def test_a_pinned_release_is_read_as_it_was(golden):
     golden.publish(BASE)
     golden.publish(BASE[:1])
-    schema = fact(golden.spark, BASE).schema
-    assert golden.store.read("fact", schema, 1).count() == 3
-    assert golden.store.read("fact", schema).count() == 1
+    assert golden.read(1).count() == 3
+    assert golden.read().count() == 1
+
+
+def test_a_pinned_read_of_some_dates_reads_only_their_partitions(golden, tmp_path):
+    golden.publish(BASE)
+    golden.rows.write.partitionBy("slice", "release_id").parquet(str(tmp_path / "rows"))
+    stored = golden.spark.read.schema(golden.rows.schema).parquet(str(tmp_path / "rows"))
+    some = release.read(stored, golden.manifest, "fact", 1, (str(DAY2), str(DAY2)))
+    assert [r["txn_id"] for r in some.collect()] == ["t3"]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "slice" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
 @pytest.mark.parametrize("key, amount", [("t1", 5000), ("t2", -45000), ("ಕನ್ನಡ-7", 0),
@@ -204,22 +230,23 @@ def test_of_two_candidates_on_one_head_the_first_publishes(spark):
 
 def test_a_month_end_tag_never_moves(golden):
     golden.publish(BASE)
-    jobs.tag_month_end(golden.store, "fact", DAY1, NOW)
+    golden.tags = jobs.tag_month_end(golden.tags, golden.releases, "fact", DAY1, NOW)
     golden.publish(BASE[:1])
-    jobs.tag_month_end(golden.store, "fact", DAY1, NOW)
-    (tag,) = golden.store.control("tags").collect()
+    golden.tags = jobs.tag_month_end(golden.tags, golden.releases, "fact", DAY1, NOW)
+    (tag,) = golden.tags.collect()
     assert (tag["tag"], tag["release_id"]) == ("month_end_2026_03", 1)
 
 
 def test_a_release_is_reconciled_once_its_closed_dates_tie(golden, spark):
     golden.publish(BASE)
-    schema = fact(spark, BASE).schema
     reported = gate.cell_totals(fact(spark, BASE), KEYS)
 
     def run(totals, *closed):
         dates = spark.createDataFrame([(d,) for d in closed], "business_date date")
-        status = jobs.reconcile(golden.store, "fact", schema, KEYS, totals, dates).collect()
-        flag = golden.store.control("releases").first()["reconciled"]
+        found, golden.releases = jobs.reconcile(
+            golden.rows, golden.releases, golden.manifest, "fact", KEYS, totals, dates)
+        status = found.collect()
+        flag = golden.releases.first()["reconciled"]
         return sorted((r["business_date"], r["status"]) for r in status), flag
 
     assert run(reported, DAY1) == (

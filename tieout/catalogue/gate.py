@@ -162,18 +162,42 @@ def row_diff_of_repeated_keys(spark, sf):
     )
 
 
-DATES = [date(2001, 7, 1) + timedelta(days=i) for i in range(31)]
+# The dates of a build: a late change touched partly settled rows; dates before 1996 are closed.
+WINDOW = """touched AS (
+  SELECT business_date FROM fact WHERE status = 'PARTIALLY_SETTLED'
+  UNION SELECT DATE '2001-08-02' UNION SELECT DATE '2001-08-03'),
+rebuilt AS (
+  SELECT business_date FROM touched
+  WHERE business_date NOT IN (
+    SELECT business_date FROM fact WHERE business_date < DATE '1996-01-01'
+    EXCEPT SELECT business_date FROM fact WHERE business_line = '1-URGENT'))"""
+
+
+def rebuilt(spark, sf):
+    fact = S.fact(spark, sf)
+    closed = fact.where(F.col("business_date") < F.lit(date(1996, 1, 1)))
+    return gate.rebuild_window(
+        fact.where("status = 'PARTIALLY_SETTLED'"),
+        date(2001, 8, 3),
+        closed.select("business_date").distinct(),
+        fact.where("business_line = '1-URGENT'").select("business_date").distinct(),
+    )
+
+
+def rebuilt_dates(spark, sf) -> list[date]:
+    """At most one entry per date of the calendar."""
+    return sorted(r[0] for r in rebuilt(spark, sf).collect())
 
 
 @query(
     "gate_candidate_window",
-    ctes(FACT)
+    ctes(FACT, WINDOW)
     + """SELECT *, 'orders@2001-07-31' AS version_label FROM fact
-WHERE business_date BETWEEN DATE '2001-07-01' AND DATE '2001-07-31'""",
+WHERE business_date IN (SELECT business_date FROM rebuilt)""",
 )
 def candidate_window(spark, sf):
     built = gold.PinnedInput("orders", "2001-07-31", S.fact(spark, sf))
-    rows = gate.in_window(gold.build_fact([built]), DATES)
+    rows = gate.in_window(gold.build_fact([built]), rebuilt_dates(spark, sf))
     return rows.withColumn("version_label", F.lit(_text(gold.version_label([built]))))
 
 
@@ -316,27 +340,9 @@ def open_holds(spark, sf):
     return found.withColumns(shown("created_at"))
 
 
-@query(
-    "gate_rebuild_window",
-    ctes(FACT)
-    + """, touched AS (
-  SELECT business_date FROM fact WHERE status = 'PARTIALLY_SETTLED'
-  UNION SELECT DATE '2001-08-02' UNION SELECT DATE '2001-08-03')
-SELECT business_date FROM touched
-WHERE business_date NOT IN (
-  SELECT business_date FROM fact WHERE business_date < DATE '1996-01-01'
-  EXCEPT SELECT business_date FROM fact WHERE business_line = '1-URGENT')""",
-)
+@query("gate_rebuild_window", ctes(FACT, WINDOW) + "SELECT business_date FROM rebuilt")
 def rebuild_window(spark, sf):
-    """A late change touched partly settled rows; dates before 1996 are closed."""
-    fact = S.fact(spark, sf)
-    closed = fact.where(F.col("business_date") < F.lit(date(1996, 1, 1)))
-    return gate.rebuild_window(
-        fact.where("status = 'PARTIALLY_SETTLED'"),
-        date(2001, 8, 3),
-        closed.select("business_date").distinct(),
-        fact.where("business_line = '1-URGENT'").select("business_date").distinct(),
-    )
+    return rebuilt(spark, sf)
 
 
 # ---- releases

@@ -5,7 +5,7 @@ They write under the session's checkpoint folder and return what a reader sees a
 
 from __future__ import annotations
 
-from datetime import UTC, date, datetime, timedelta
+from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
@@ -13,26 +13,31 @@ from tieout.catalogue.around import LOAN_ROW, SIGNAL_COLUMNS, SIGNALS, app_event
 from tieout.catalogue.cdc import ALL, CHANGES, STATE
 from tieout.catalogue.cut import UP_TO_CUT
 from tieout.catalogue.deliveries import PARTS, ROWS, VERSIONS
-from tieout.catalogue.gate import FACT
+from tieout.catalogue.gate import FACT, WINDOW, rebuilt_dates
 from tieout.catalogue.registry import ctes, query, shown
 from tieout.durable import scratch
-from tieout.model import MergeSpec
-from tieout.operators import cdc
+from tieout.model import CUTS, MANIFEST, POINTER, REGISTER, RELEASES, MergeSpec
+from tieout.operators import cdc, release
 from tieout.operators import deliveries as D
 from tieout.plans import cut_advance, file_delivery, gate_publish, merge
 from tieout.sources import derived as S
-from tieout.sources.store import Store
 from tieout.sources.stream import given_stream
 from tieout.streaming import changes as change_stream
 from tieout.streaming import events as event_stream
 
 NOW = datetime(2001, 9, 1, tzinfo=UTC)
-BUCKETS = 8
 AVAILABLE = {"availableNow": True}
 
 
-def _store(spark) -> Store:
-    return Store(spark, scratch(spark, "store"))
+def _none(spark, schema: str):
+    return spark.createDataFrame([], schema)
+
+
+def _written_to(spark, frame, name: str):
+    """What a job's caller does with a frame: one plain table."""
+    path = scratch(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 @query(
@@ -40,12 +45,13 @@ def _store(spark) -> Store:
     ctes(CHANGES, ALL) + f"SELECT {STATE} FROM state",
 )
 def merge_batches(spark, sf):
-    """Two overlapping batches merged into a stored table, one release each."""
-    store = _store(spark)
-    for batch in (S.early_changes(spark, sf), S.later_changes(spark, sf)):
-        merge.merge_batch(store, "loan", S.LOAN, batch, S.MERGED_AT, buckets=BUCKETS)
-    schema = merge.target_schema(S.changes(spark, sf), S.LOAN)
-    return store.read("loan", schema).drop("updated_at")
+    """Two overlapping batches: the first written as the state, the second merged by its keys."""
+    first, second = S.early_changes(spark, sf), S.later_changes(spark, sf)
+    state = merge.merge_batch(cdc.empty_target(first, S.LOAN), S.LOAN, first, S.MERGED_AT)
+    state = _written_to(spark, state, "loan")
+    put = _written_to(spark, merge.upserts(state, S.LOAN, second, S.MERGED_AT), "upserts")
+    kept = state.join(put, list(S.LOAN.keys), "left_anti")
+    return kept.unionByName(put).drop("updated_at")
 
 
 @query(
@@ -56,101 +62,119 @@ def merge_batches(spark, sf):
 GROUP BY ALL""",
 )
 def advance_source(spark, sf):
-    """Both tables of the source advanced in two runs, and read at the second cut."""
-    store = _store(spark)
+    """Both tables of the source advanced in two runs, as they are at the second cut."""
     orders = MergeSpec(("order_id",), ("status", "amount_paise"))
     lines = MergeSpec(("line_id",), ("amount_paise",))
-    rows = S.captured(spark, sf)
-    transactions = S.transactions(spark, sf)
     specs = {"public.orders": ("orders", orders), "public.lineitem": ("lines", lines)}
-
-    def run(until: datetime | None):
-        seen = {
-            name: r if until is None else r.where(F.col("ingest_ts") <= F.lit(until))
-            for name, r in rows.items()
-        }
+    bronze = S.captured(spark, sf)
+    transactions = S.transactions(spark, sf)
+    cuts = _none(spark, CUTS)
+    states = {t: cdc.empty_target(bronze[name], spec) for name, (t, spec) in specs.items()}
+    for run, until in enumerate((datetime(1999, 1, 1), None), 1):
         tables = {
-            name: cut_advance.CapturedTable(seen[name], table, spec)
-            for name, (table, spec) in specs.items()
+            name: cut_advance.CapturedTable(
+                rows if until is None else rows.where(F.col("ingest_ts") <= F.lit(until)),
+                specs[name][0],
+                specs[name][1],
+                states[specs[name][0]],
+            )
+            for name, rows in bronze.items()
         }
-        return cut_advance.advance(
-            store, "sales", transactions, tables, NOW, S.TRACKED, buckets=BUCKETS
+        moved = cut_advance.advance(
+            cuts, "sales", transactions, tables, run, NOW, S.TRACKED
         )
-
-    run(datetime(1999, 1, 1))
-    last = run(None)
-    found = None
-    for name, (table, spec) in specs.items():
-        schema = merge.target_schema(rows[name], spec)
-        state = cut_advance.read_at(store, table, schema, "sales", last["position"])
-        one = cdc.live_rows(state).select(
+        states = {t: _written_to(spark, state, t) for t, state in moved.states.items()}
+        cuts = moved.cuts
+    found = [
+        cdc.live_rows(states[t]).select(
             F.lit(name).alias("source_table"), F.col(spec.keys[0]).alias("key")
         )
-        found = one if found is None else found.unionByName(one)
-    return found
+        for name, (t, spec) in specs.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
+# Dates of one weekday, in order: each is judged by what the four weeks before it published.
+IN_TURN = """dates AS (
+  SELECT partner, feed, posting_date, isodow(posting_date) AS weekday,
+         coalesce(list({'s': sequence_number, 'n': row_count}) FILTER (WHERE parts >= part_count),
+                  []) AS asked,
+         row_number() OVER (PARTITION BY partner, feed, isodow(posting_date)
+                            ORDER BY posting_date) AS turn
+  FROM versions GROUP BY partner, feed, posting_date),
+walk AS (
+  SELECT DISTINCT partner, feed, weekday, 0::BIGINT AS turn,
+         CAST([] AS STRUCT(d DATE, s BIGINT, n BIGINT)[]) AS done
+  FROM dates
+  UNION ALL
+  SELECT partner, feed, weekday, turn,
+         list_append(done[-4:], {'d': posting_date, 's': best.s, 'n': best.n})
+  FROM (
+    SELECT *, list_sort([v FOR v IN asked IF NOT coalesce(
+                usual > 0 AND v.n < usual * 0.8::DOUBLE, false)])[-1] AS best
+    FROM (
+      SELECT d.partner, d.feed, d.weekday, d.turn, d.posting_date, d.asked, w.done,
+             list_aggregate([h.n FOR h IN w.done IF h.d >= d.posting_date - 28], 'median') AS usual
+      FROM walk w JOIN dates d
+        ON d.partner = w.partner AND d.feed = w.feed AND d.weekday = w.weekday
+       AND d.turn = w.turn + 1)))"""
 
 
 @query(
     "job_deliver_files",
-    ctes(ROWS, PARTS, VERSIONS)
-    + """SELECT file_id, settlement_id, amount_paise FROM file_rows
-JOIN (SELECT partner, feed, posting_date, max(sequence_number) AS sequence_number
-      FROM versions WHERE parts >= part_count GROUP BY ALL)
-  USING (partner, feed, posting_date, sequence_number)""",
+    ctes(ROWS, PARTS, VERSIONS, IN_TURN).replace("WITH ", "WITH RECURSIVE ", 1)
+    + """SELECT f.file_id, f.settlement_id, f.amount_paise
+FROM file_rows f JOIN walk w
+  ON f.partner = w.partner AND f.feed = w.feed AND f.posting_date = w.done[-1].d
+ AND f.sequence_number = w.done[-1].s""",
 )
 def deliver_files(spark, sf):
-    """Every part received twice, every version requested with approval, current rows read."""
-    store = _store(spark)
+    """Every part received twice, every version requested without approval, current rows read.
+
+    Whatever is far smaller than the weeks before it is held, so its rows do not show.
+    """
     rows = S.file_rows(spark, sf).select(
         "file_id", "settlement_id", "amount_paise", "posting_date"
     )
     parts = S.file_parts(spark, sf).withColumn("arrival", F.col("file_id"))
+    register, stored = _none(spark, REGISTER), None
     for _ in range(2):
-        file_delivery.receive(store, "orders_versions", S.FEED, parts, rows, NOW)
-    register = store.control("register")
-    asked = S.requests(register, approver="ops")
-    days = asked.agg(F.min("posting_date"), F.max("posting_date")).first()
-    _publish_at_once(store, asked, days)
-    schema = D.tag_rows(rows, parts).schema
-    loaded = file_delivery.loaded_rows(store, "orders_versions", schema)
-    current = D.current_rows(loaded, store.control("pointer"))
-    return current.select("file_id", "settlement_id", "amount_paise")
-
-
-def _publish_at_once(store, asked, days):
-    """Approved versions never look at their history, so all dates form one wave."""
-    file_delivery.publish(
-        store, S.FEED, asked, NOW, wave_days=(days[1] - days[0]).days + 1
-    )
-
-
-DATES = [date(2001, 7, 1) + timedelta(days=i) for i in range(31)]
+        got = file_delivery.receive(register, S.FEED, parts, rows, NOW)
+        load = _written_to(spark, got.rows, "load")
+        stored = load if stored is None else stored.unionByName(load)
+        register = _written_to(spark, got.register, "register")
+    asked = S.requests(register)
+    done = file_delivery.publish(register, _none(spark, POINTER), S.FEED, asked, NOW)
+    loaded = file_delivery.loaded_rows(stored, done.register)
+    return D.current_rows(loaded, done.pointer).select("file_id", "settlement_id", "amount_paise")
 
 
 @query(
     "job_publish_fact",
-    ctes(FACT)
+    ctes(FACT, WINDOW)
     + """SELECT 1 AS attempt, txn_id, amount_paise FROM fact WHERE false
 UNION ALL
 SELECT 2, txn_id, amount_paise FROM fact
-WHERE business_date BETWEEN DATE '2001-07-01' AND DATE '2001-07-31'""",
+WHERE business_date IN (SELECT business_date FROM rebuilt)""",
 )
 def publish_fact(spark, sf):
     """A faulty build is held and stays invisible; a clean one goes live."""
-    store = _store(spark)
-    fact = S.fact(spark, sf)
+    fact, dates = S.fact(spark, sf), rebuilt_dates(spark, sf)
     inputs = spark.createDataFrame(
         [("sales", True, "")], "name string, complete boolean, detail string"
     )
-    seen = None
+    releases, manifest, stored, seen = _none(spark, RELEASES), _none(spark, MANIFEST), None, None
     for attempt, build in ((1, S.faulty_fact(spark, sf)), (2, fact)):
-        release_id = gate_publish.write_candidate(
-            store, S.TABLE, build, DATES, {"sales": str(attempt)}, NOW
+        made = gate_publish.build_candidate(
+            releases, S.TABLE, build, dates, {"sales": str(attempt)}, NOW
         )
-        gate_publish.publish_or_hold(
-            store, S.TABLE, release_id, fact.schema, S.FACT_KEYS, inputs, fact, NOW
+        rows = _written_to(spark, made.rows, "fact")
+        gated = gate_publish.publish_or_hold(
+            made.releases, manifest, S.TABLE, made.release_id, rows, S.FACT_KEYS, inputs, fact, NOW
         )
-        live = store.read(S.TABLE, fact.schema).select(
+        releases, manifest = gated.releases, gated.manifest
+        stored = rows if stored is None else stored.unionByName(rows)
+        live = release.read(stored, manifest, S.TABLE).select(
             F.lit(attempt).alias("attempt"), "txn_id", "amount_paise"
         )
         seen = live if seen is None else seen.unionByName(live)
@@ -162,14 +186,13 @@ def publish_fact(spark, sf):
 
 @query("stream_merge", ctes(CHANGES, ALL) + f"SELECT {STATE} FROM state")
 def stream_merge(spark, sf):
-    store = _store(spark)
+    """Changes appended as they come, and folded when the state is read."""
+    path = scratch(spark, "changes")
     changes = S.changes_of(given_stream(spark, sf, "events"))
-    running = change_stream.merge_stream(
-        changes, store, "loan", S.LOAN, scratch(spark, "checkpoint"), AVAILABLE, BUCKETS
-    )
+    running = change_stream.merge_stream(changes, path, scratch(spark, "checkpoint"), AVAILABLE)
     running.awaitTermination()
-    schema = merge.target_schema(S.changes(spark, sf), S.LOAN)
-    return store.read("loan", schema).drop("updated_at")
+    appended = spark.read.schema(changes.schema).parquet(path)
+    return change_stream.merged(appended, S.LOAN, S.MERGED_AT).drop("updated_at")
 
 
 @query(

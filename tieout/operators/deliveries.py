@@ -9,7 +9,7 @@ written. No side is hinted as small: Spark broadcasts a side when its measured s
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -270,6 +270,83 @@ def usual_rows(deliveries: DataFrame, pointer: DataFrame, register: DataFrame) -
     )
 
 
+def usual_rows_in_turn(
+    requests: DataFrame,
+    register: DataFrame,
+    pointer: DataFrame,
+    threshold: float = V.TRUNCATION_THRESHOLD,
+) -> DataFrame:
+    """`usual_rows` of requested deliveries when earlier requests publish first.
+
+    The dates of one weekday of one feed are each other's history, so they are walked in order:
+    a date looks back at what the weeks before it hold, be it published long ago or a moment ago
+    in the walk. A walk has one entry per date of the calendar, however many rows a file has.
+    """
+    walk = ("partner", "feed", "weekday")
+    whole = version_completeness(register).where(F.col("whole"))
+    approved = F.col("approved_by").isNotNull().alias("approved")
+    version = F.struct("sequence_number", "row_count", approved)
+    asked = (
+        requests.select(*VERSION, "approved_by")
+        .join(whole.select(*VERSION, "row_count"), list(VERSION), "left")
+        .groupBy(*DELIVERY)
+        .agg(F.collect_list(F.when(F.col("row_count").isNotNull(), version)).alias("asked"))
+    )
+    current = (
+        register.where(F.col("state") == V.PUBLISHED)
+        .join(pointer.where(P.is_open()).select(*VERSION), list(VERSION), "left_semi")
+        .groupBy(*DELIVERY)
+        .agg(F.sum("row_count").alias("held"))
+        .join(P.current(pointer, DELIVERY, "sequence_number"), list(DELIVERY), "left")
+        .withColumnRenamed("sequence_number", "present")
+    )
+    # Only where something is requested is there anything to walk.
+    dated = asked.join(current, list(DELIVERY), "full_outer").withColumn(
+        "weekday", F.weekday("posting_date")
+    )
+    turn = F.struct("posting_date", "present", "held", "asked")
+    turns = (
+        dated.groupBy(*walk)
+        .agg(F.array_sort(F.collect_list(turn)).alias("dates"), F.count("asked").alias("requests"))
+        .where(F.col("requests") > 0)
+    )
+
+    def settled(done: Column, at: Column) -> Column:
+        oldest = F.date_sub(at["posting_date"], 7 * V.BASELINE_WEEKS)
+        counts = F.array_sort(
+            F.transform(
+                F.filter(done, lambda d: (d["posting_date"] >= oldest) & d["held"].isNotNull()),
+                lambda d: d["held"],
+            )
+        )
+        low = F.get(counts, F.floor((F.size(counts) - 1) / 2).cast("int"))
+        high = F.get(counts, F.floor(F.size(counts) / 2).cast("int"))
+        usual = F.when(F.size(counts) > 0, (low + high) / F.lit(2.0))
+        few = F.coalesce(usual > 0, F.lit(False))
+        may = F.filter(
+            F.coalesce(at["asked"], F.array()),
+            lambda v: v["approved"] | ~(few & (v["row_count"] < usual * F.lit(1 - threshold))),
+        )
+        best = F.array_max(may)
+        wins = best["sequence_number"] >= F.coalesce(at["present"], F.lit(-1).cast("bigint"))
+        held = F.when(F.coalesce(wins, F.lit(False)), best["row_count"]).otherwise(at["held"])
+        entry = F.struct(
+            at["posting_date"].alias("posting_date"),
+            at["asked"].isNotNull().alias("requested"),
+            usual.alias("usual_rows"),
+            held.alias("held"),
+        )
+        return F.concat(done, F.array(entry))
+
+    nothing = F.array().cast(
+        "array<struct<posting_date: date, requested: boolean, usual_rows: double, held: bigint>>"
+    )
+    walked = turns.select("partner", "feed", F.inline(F.aggregate("dates", nothing, settled)))
+    return walked.where(F.col("requested") & F.col("usual_rows").isNotNull()).select(
+        *DELIVERY, "usual_rows"
+    )
+
+
 def truncation_holds(
     versions: DataFrame, usual: DataFrame, threshold: float = V.TRUNCATION_THRESHOLD
 ) -> DataFrame:
@@ -296,9 +373,11 @@ def publish_verdicts(
     register: DataFrame,
     pointer: DataFrame,
     threshold: float = V.TRUNCATION_THRESHOLD,
+    usual: DataFrame | None = None,
 ) -> DataFrame:
     """One verdict per requested version, all judged against the same register and pointer.
 
+    `usual` is the usual row count per delivery; without it, that of the published history.
     `requests` has the version columns and `approved_by`, at most one row per version. Of several
     publishable versions of a delivery only the highest publishes. `row_count` is that of the
     version and `reason` says what is missing.
@@ -308,7 +387,8 @@ def publish_verdicts(
     present = P.current(pointer, DELIVERY, "sequence_number").withColumnRenamed(
         "sequence_number", "present"
     )
-    usual = usual_rows(asked.select(*DELIVERY).distinct(), pointer, register)
+    if usual is None:
+        usual = usual_rows(asked.select(*DELIVERY).distinct(), pointer, register)
     judged = truncation_holds(
         asked.join(have, list(VERSION), "left").join(present, list(DELIVERY), "left"),
         usual,
@@ -369,14 +449,25 @@ def settle_register(register: DataFrame, verdicts: DataFrame, pointer: DataFrame
 # ---- reading -----------------------------------------------------------------------------
 
 
-def current_rows(rows: DataFrame, pointer: DataFrame) -> DataFrame:
-    """What counts now: of each delivery the version whose pointer row is open."""
-    return _of_versions(rows, pointer.where(P.is_open()))
+def current_rows(
+    rows: DataFrame, pointer: DataFrame, between: tuple[date, date] | None = None
+) -> DataFrame:
+    """What counts now: of each delivery the version whose pointer row is open.
+
+    `between` bounds the posting dates, first and last included. Rows stored by posting date are
+    then read from those partitions alone.
+    """
+    return _of_versions(rows, pointer.where(P.is_open()), between)
 
 
-def as_known_at(rows: DataFrame, pointer: DataFrame, moment: datetime) -> DataFrame:
+def as_known_at(
+    rows: DataFrame,
+    pointer: DataFrame,
+    moment: datetime,
+    between: tuple[date, date] | None = None,
+) -> DataFrame:
     """What counted then: versions whose pointer row covers `moment`, which needs a time zone."""
-    return _of_versions(rows, pointer.where(P.held_at(moment)))
+    return _of_versions(rows, pointer.where(P.held_at(moment)), between)
 
 
 def input_status(required: DataFrame, pointer: DataFrame) -> DataFrame:
@@ -551,6 +642,11 @@ def parse_strict(rows: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
-def _of_versions(rows: DataFrame, versions: DataFrame) -> DataFrame:
+def _of_versions(
+    rows: DataFrame, versions: DataFrame, between: tuple[date, date] | None = None
+) -> DataFrame:
+    if between is not None:
+        within = F.col("posting_date").between(*(F.lit(d) for d in between))
+        rows, versions = rows.where(within), versions.where(within)
     joined = rows.join(versions.select(*VERSION), list(VERSION), "left_semi")
     return joined.select(*rows.columns)

@@ -42,17 +42,36 @@ def known_at(manifest: DataFrame, table: str, moment: datetime) -> DataFrame:
 
 
 def read(
-    rows: DataFrame, manifest: DataFrame, table: str, release: int | Column | None = None
+    rows: DataFrame,
+    manifest: DataFrame,
+    table: str,
+    release: int | Column | None = None,
+    between: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Rows of the head, or of the table exactly as it stood at one release."""
-    return of_slices(rows, wanted(manifest, table, release))
+    return of_slices(rows, wanted(manifest, table, release), between)
 
 
-def read_known_at(rows: DataFrame, manifest: DataFrame, table: str, moment: datetime) -> DataFrame:
-    return of_slices(rows, known_at(manifest, table, moment))
+def read_known_at(
+    rows: DataFrame,
+    manifest: DataFrame,
+    table: str,
+    moment: datetime,
+    between: tuple[str, str] | None = None,
+) -> DataFrame:
+    return of_slices(rows, known_at(manifest, table, moment), between)
+
 
+def of_slices(
+    rows: DataFrame, slices: DataFrame, between: tuple[str, str] | None = None
+) -> DataFrame:
+    """Rows of the named (slice, release_id) pairs.
 
-def of_slices(rows: DataFrame, slices: DataFrame) -> DataFrame:
+    `between` bounds the slices with literals, first and last included: where rows are stored by
+    slice, only those partitions are listed and read.
+    """
+    if between is not None:
+        rows, slices = (f.where(F.col("slice").between(*between)) for f in (rows, slices))
     return rows.join(slices, ["slice", "release_id"], "left_semi")
 
 

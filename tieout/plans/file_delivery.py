@@ -1,55 +1,61 @@
-"""Receiving partner files and publishing versions, many at a time."""
+"""Receiving partner files and publishing versions, many at a time.
+
+Each job takes the control frames and returns the next ones. Rows are stored first and the
+register last: a run that died in between is run again under the same load number.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tieout import fixed_values as V
 from tieout.durable import materialise
 from tieout.model import DELIVERY, FeedContract
 from tieout.operators import deliveries as D
-from tieout.sources.store import Store
 
-WAVE_DAYS = 7
+
+@dataclass(frozen=True)
+class Received:
+    parts: DataFrame  # every arriving part with `state` and `problems`
+    rows: DataFrame  # rows of the accepted parts under `load_id`, to replace that load
+    register: DataFrame
+
+
+@dataclass(frozen=True)
+class Published:
+    verdicts: DataFrame
+    register: DataFrame
+    pointer: DataFrame
 
 
 def receive(
-    store: Store,
-    table: str,
+    register: DataFrame,
     contract: FeedContract,
     parts: DataFrame,
     rows: DataFrame,
     now: datetime,
-) -> DataFrame:
-    """Check, load and register arriving parts; returns them with `state` and `problems`.
+) -> Received:
+    """Check, tag and register arriving parts.
 
-    Rows are written under a new load, and the register then names the load that holds each
-    file. A run that died in between leaves a load nobody names, and its rerun replaces that
-    load, so no file is ever loaded twice.
+    Rows carry the number of their load, and the register names the load that holds each file,
+    so a load that nobody registered is never read. Store rows by posting date and partner, so
+    that readers of some dates read only those.
     """
-    register = store.control("register")
     load_id = (register.agg(F.max("load_id")).first()[0] or 0) + 1
     checked = D.refuse(D.check_parts(rows, parts, contract), register, V.IDENTIFIERS)
     decided = materialise(D.classify_arrivals(checked, register))
-    tagged = D.tag_rows(rows, decided.where(F.col("state") == V.STAGED))
-    # Clustered so that row-group statistics skip other dates; a partner that sends a third of
-    # the rows is split into files of the usual size.
-    clustered = tagged.hint("rebalance", "partner", "posting_date")
-    clustered.write.mode("overwrite").partitionBy("partner").parquet(
-        f"{store.root}/rows/{table}/load_id={load_id}"
-    )
+    staged = decided.where(F.col("state") == V.STAGED)
+    tagged = D.tag_rows(rows, staged).withColumn("load_id", F.lit(load_id).cast("bigint"))
     # A refused part never replaces the accepted file whose id it used.
     accepted = register.where(F.col("state").isin(*V.RECEIVED)).select("file_id").unionByName(
-        decided.where(F.col("state") == V.STAGED).select("file_id")
+        staged.select("file_id")
     )
-    refused = F.col("state") == V.REJECTED
-    news = decided.where(F.col("state") == V.STAGED).unionByName(
-        decided.where(refused)
+    news = staged.unionByName(
+        decided.where(F.col("state") == V.REJECTED)
         .join(accepted, "file_id", "left_anti")
         .dropDuplicates(["file_id"])
         .select(*decided.columns)
@@ -61,50 +67,33 @@ def receive(
             "load_id": F.when(F.col("state") == V.STAGED, F.lit(load_id).cast("bigint")),
         }
     )
-    store.put_control("register", D.record(register, recorded))
-    return decided
+    return Received(decided, tagged, D.record(register, recorded))
 
 
-def loaded_rows(store: Store, table: str, schema: T.StructType) -> DataFrame:
+def loaded_rows(rows: DataFrame, register: DataFrame) -> DataFrame:
     """Every row of every version. Read through `current_rows` or `as_known_at`."""
-    full = T.StructType([*schema.fields, T.StructField("load_id", T.LongType())])
-    named = store.control("register").select("file_id", "load_id")
-    rows = store.plain_rows(table, full)
-    return rows.join(named, ["file_id", "load_id"], "left_semi").select(*schema.names)
+    named = register.select("file_id", "load_id")
+    return rows.join(named, ["file_id", "load_id"], "left_semi").select(
+        *(c for c in rows.columns if c != "load_id")
+    )
 
 
 def publish(
-    store: Store,
+    register: DataFrame,
+    pointer: DataFrame,
     contract: FeedContract,
     requests: DataFrame,
     now: datetime,
-    wave_days: int = WAVE_DAYS,
-) -> DataFrame:
+) -> Published:
     """A verdict per requested version, with the pointer and the register moved accordingly.
 
-    The truncation guard looks at the same weekday of earlier weeks, so requests are taken in
-    waves of seven posting dates, oldest first: dates in one wave are never each other's history.
-    A wider wave is safe only for approved requests, which skip the guard.
+    A backlog builds its own history: what an earlier date publishes counts as usual for the same
+    weekday of the weeks after it, in this same call.
     """
-    asked = materialise(requests.select(*DELIVERY, "sequence_number", "approved_by"))
-    first = asked.agg(F.min("posting_date")).first()[0]
-    if first is None:
-        raise ValueError("no version was requested")
-    wave = F.floor(F.datediff("posting_date", F.lit(first)) / wave_days)
-    # One number per wave that has requests.
-    numbers = sorted(r[0] for r in asked.select(wave).distinct().collect())
-    verdicts = [_publish_wave(store, contract, asked.where(wave == n), now) for n in numbers]
-    return reduce(DataFrame.unionByName, verdicts)
-
-
-def _publish_wave(
-    store: Store, contract: FeedContract, wave: DataFrame, now: datetime
-) -> DataFrame:
-    register, pointer = store.control("register"), store.control("pointer")
-    judged = materialise(
-        D.publish_verdicts(wave, register, pointer, contract.truncation_threshold)
+    asked = requests.select(*DELIVERY, "sequence_number", "approved_by")
+    usual = D.usual_rows_in_turn(asked, register, pointer, contract.truncation_threshold)
+    verdicts = materialise(
+        D.publish_verdicts(asked, register, pointer, contract.truncation_threshold, usual)
     )
-    wins = judged.where(F.col("verdict") == V.PUBLISHED)
-    store.put_control("pointer", D.flip(pointer, wins, now))
-    store.put_control("register", D.settle_register(register, judged, store.control("pointer")))
-    return judged
+    flipped = D.flip(pointer, verdicts.where(F.col("verdict") == V.PUBLISHED), now)
+    return Published(verdicts, D.settle_register(register, verdicts, flipped), flipped)

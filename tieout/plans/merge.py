@@ -1,80 +1,42 @@
-"""Merging a batch of changes into a stored current-state table."""
+"""Merging a batch of changes into current state.
+
+Both forms return frames; where they are stored is the caller's business.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tieout import fixed_values as V
 from tieout.durable import materialise
-from tieout.model import RELEASES, MergeSpec
-from tieout.operators import cdc, release
-from tieout.sources.store import Store
-
-BUCKETS = 64
-
-
-def key_slice(keys: tuple[str, ...], buckets: int = BUCKETS) -> Column:
-    """The bucket of a key: what a merge rewrites. A batch rewrites only buckets it touches."""
-    return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(buckets)).cast("string")
+from tieout.model import MergeSpec
+from tieout.operators import cdc
 
 
 def target_schema(changes: DataFrame, spec: MergeSpec) -> T.StructType:
     return cdc.empty_target(changes, spec).schema
 
 
+def folded(changes: DataFrame, spec: MergeSpec) -> DataFrame:
+    """The batch as one kept row per key. An unsupported change fails here, before any merge."""
+    return materialise(cdc.fill_unchanged(cdc.reject_unsupported(changes), spec))
+
+
 def merge_batch(
-    store: Store,
-    table: str,
-    spec: MergeSpec,
-    changes: DataFrame,
-    now: datetime,
-    label: dict[str, str] | None = None,
-    buckets: int = BUCKETS,
-) -> int | None:
-    """Write the next release of the table and make it live. Returns the live release.
+    target: DataFrame, spec: MergeSpec, changes: DataFrame, now: datetime
+) -> DataFrame:
+    """The whole next state, for a target that is written anew."""
+    return cdc.apply_folded(target, folded(changes, spec), spec, now)
 
-    The batch is read once: folded to a row per key and kept. An unsupported change fails that
-    step, before anything is written. `buckets` is fixed for a table's life; choose it so that a
-    bucket is a few gigabytes.
-    """
-    schema = target_schema(changes, spec)
-    folded = materialise(cdc.fill_unchanged(cdc.reject_unsupported(changes), spec))
-    # At most one value per bucket.
-    touched = [r[0] for r in folded.select(key_slice(spec.keys, buckets)).distinct().collect()]
-    head = store.head(table)
-    if not touched:
-        return head
-    live = release.wanted(store.control("manifest"), table).where(F.col("slice").isin(touched))
-    target = store.of_slices(table, schema, live).select(*schema.names)
-    merged = cdc.apply_folded(target, folded, spec, now)
-    release_id = store.next_release(table)
-    store.write_release(
-        table, release_id, merged.withColumn("slice", key_slice(spec.keys, buckets))
-    )
-    go_live(store, table, release_id, head, touched, label or {}, now)
-    return release_id
 
+def upserts(target: DataFrame, spec: MergeSpec, changes: DataFrame, now: datetime) -> DataFrame:
+    """Only the rows of the batch's keys, as they are afterwards: what a MERGE by key writes.
 
-def go_live(
-    store: Store,
-    table: str,
-    release_id: int,
-    parent: int | None,
-    slices: list[str],
-    label: dict[str, str],
-    now: datetime,
-) -> None:
-    """Log a release as published, then point its slices at it."""
-    spark = store.spark
-    row = (table, release_id, parent, slices, label, V.PUBLISHED, "", now, now, False)
-    log = store.control("releases").unionByName(spark.createDataFrame([row], RELEASES))
-    pointed = spark.createDataFrame(
-        [(table, s, release_id) for s in slices],
-        "table_name string, slice string, release_id bigint",
-    )
-    store.put_control("manifest", release.publish(store.control("manifest"), pointed, now))
-    store.put_control("releases", log)
+    The target is read through the batch's keys, so its other rows are never shuffled when the
+    batch is small, and a large table is not rewritten for a few changes.
+    """
+    batch = folded(changes, spec)
+    touched = target.join(batch.select(*spec.keys), list(spec.keys), "left_semi")
+    return cdc.apply_folded(touched.select(*target.columns), batch, spec, now)

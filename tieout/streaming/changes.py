@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tieout.model import MergeSpec
-from tieout.operators import bronze
-from tieout.plans.merge import BUCKETS, merge_batch
-from tieout.sources.store import Store
+from tieout.operators import bronze, cdc
 
 
 def land(
@@ -38,27 +36,27 @@ def land(
 
 
 def merge_stream(
-    changes: DataFrame,
-    store: Store,
-    table: str,
-    spec: MergeSpec,
-    checkpoint: str,
-    trigger: dict | None = None,
-    buckets: int = BUCKETS,
+    changes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Merge each micro-batch. A batch that runs again after a failure changes nothing.
+    """Append checked changes to one plain output, each exactly once.
 
-    Large columns need their changes in source order across batches, which the transaction cut
-    gives; feed this from changes that are already inside a cut, or from a keyed topic.
+    Nothing is rewritten while changes arrive: `merged` folds them when the state is read, or
+    when a batch job writes the state anew with `plans.merge.merge_batch`. An unsupported change
+    stops the stream before its micro-batch becomes visible.
     """
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        now = datetime.now(UTC)
-        merge_batch(store, table, spec, batch, now, {"batch_id": str(batch_id)}, buckets)
-
     return (
-        changes.writeStream.foreachBatch(merge)
+        cdc.reject_unsupported(changes)
+        .writeStream.format("parquet")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
+
+
+def merged(
+    appended: DataFrame, spec: MergeSpec, now: datetime, state: DataFrame | None = None
+) -> DataFrame:
+    """The state with everything the stream appended since it was written."""
+    before = cdc.empty_target(appended, spec) if state is None else state
+    return cdc.apply_changes(before, appended, spec, now)
