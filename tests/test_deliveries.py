@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import statistics
 from datetime import UTC, date, datetime, timedelta
 
 import pytest
@@ -281,46 +282,57 @@ def test_a_backlog_published_in_one_call_builds_its_own_history(feed):
     assert [got[d] for d in days] == ["PUBLISHED"] * 4 + ["HELD_FOR_APPROVAL"]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_a_backlog_in_one_call_equals_one_date_at_a_time(spark, seed):
-    rng = random.Random(seed)
-    days = sorted(rng.sample([MONDAY + timedelta(days=i) for i in range(60)], 25))
-    sent, asked = [], []
-    for day in days:
-        for version in rng.sample((1, 2, 3), rng.randint(1, 3)):
-            parts = rng.choice((1, 1, 1, 2))  # the second part never comes
-            n = rng.choice((0, 3, 8, 10, 11))
-            sent.append((day, version, parts, n))
-            if rng.random() < 0.8:
-                asked.append(("north", "settlement", day, version, rng.choice((None, None, "asha"))))
-    columns = ("partner string, feed string, posting_date date, sequence_number bigint, "
-               "approved_by string")
-    rows = [(f"{d}-{v}", f"{d}-{v}", "north", "settlement", d, v, 1, p, n, n, "STAGED", "", NOW, 1)
-            for d, v, p, n in sent]
-    register = spark.createDataFrame(rows, REGISTER)
-    # Some of the history was published before.
-    pointer = spark.createDataFrame([], POINTER)
-    before = [("north", "settlement", d, v, "start") for d, v, p, n in sent if p == 1 and v == 1][::2]
-    begun = jobs.publish(register, pointer, FEED, spark.createDataFrame(before, columns), NOW)
-    register, pointer = materialise(begun.register), materialise(begun.pointer)
-    whole = jobs.publish(register, pointer, FEED, spark.createDataFrame(asked, columns), NOW)
-    expected = {}
+def walked(days, sent, asked, before):
+    """Verdict and usual count of each requested version, one date after the other."""
+    published, found = dict(before), {}
     for day in days:
-        mine = [a for a in asked if a[2] == day]
-        if not mine:
-            continue
-        frame = spark.createDataFrame(mine, columns)
-        verdicts = materialise(D.publish_verdicts(frame, register, pointer))
-        pointer = materialise(
-            D.flip(pointer, verdicts.where(F.col("verdict") == "PUBLISHED"), NOW))
-        register = materialise(D.settle_register(register, verdicts, pointer))
-        for r in verdicts.collect():
-            expected[day, r["sequence_number"]] = (r["verdict"], r["usual_rows"], r["reason"])
-    got = {(r["posting_date"], r["sequence_number"]): (r["verdict"], r["usual_rows"], r["reason"])
-           for r in whole.verdicts.collect()}
-    assert got == expected
-    assert sorted(map(str, whole.register.collect())) == sorted(map(str, register.collect()))
-    assert sorted(map(str, whole.pointer.collect())) == sorted(map(str, pointer.collect()))
+        past = [published[d][1] for d in (day - timedelta(weeks=w) for w in range(1, 5)) if d in published]
+        usual = statistics.median(past) if past else None
+        verdicts, best = {}, None
+        for version, approved in asked.get(day, {}).items():
+            parts, n = sent[day][version]
+            if parts > 1:
+                verdicts[version] = "INCOMPLETE"
+            elif usual and n < usual * 0.8 and not approved:
+                verdicts[version] = "HELD_FOR_APPROVAL"
+            else:
+                verdicts[version], best = None, max(best or 0, version)
+        present = published.get(day, (-1, 0))[0]
+        for version, verdict in verdicts.items():
+            wins = "PUBLISHED" if version >= max(best or 0, present) else "SUPERSEDED"
+            found[day, version] = (verdict or wins, usual)
+        if best is not None and best >= present:
+            published[day] = (best, sent[day][best][1])
+    return found, {d: v for d, (v, _) in published.items()}
+
+
+def test_a_backlog_in_one_call_equals_one_date_at_a_time(spark):
+    rng = random.Random(7)
+    days = sorted(rng.sample([MONDAY + timedelta(days=i) for i in range(120)], 70))
+    # Per version: declared parts, of which only the first came, and rows.
+    sent = {d: {v: (rng.choice((1, 1, 1, 2)), rng.choice((0, 3, 8, 10, 11)))
+                for v in rng.sample((1, 2, 3), rng.randint(1, 3))} for d in days}
+    asked = {d: {v: rng.choice((None, None, "asha")) for v in vs if rng.random() < 0.8}
+             for d, vs in sent.items()}
+    before = {d: (1, vs[1][1]) for d, vs in sent.items() if vs.get(1, (2,))[0] == 1 and rng.random() < 0.4}
+    register = [
+        (f"{d}-{v}", f"{d}-{v}", "north", "settlement", d, v, 1, parts, n, n,
+         "PUBLISHED" if v == 1 and d in before else "STAGED", "", NOW, 1)
+        for d, vs in sent.items() for v, (parts, n) in vs.items()]
+    pointer = [("north", "settlement", d, 1, NOW, None, "start") for d in before]
+    requests = [("north", "settlement", d, v, by) for d, vs in asked.items() for v, by in vs.items()]
+    done = jobs.publish(
+        spark.createDataFrame(register, REGISTER), spark.createDataFrame(pointer, POINTER), FEED,
+        spark.createDataFrame(requests, "partner string, feed string, posting_date date, "
+                                        "sequence_number bigint, approved_by string"),
+        NOW + timedelta(days=1))
+    verdicts, current = walked(days, sent, asked, before)
+    got = {(r["posting_date"], r["sequence_number"]): (r["verdict"], r["usual_rows"])
+           for r in done.verdicts.collect()}
+    assert got == verdicts
+    assert {v for v, _ in got.values()} == {"PUBLISHED", "HELD_FOR_APPROVAL", "INCOMPLETE", "SUPERSEDED"}
+    opened = done.pointer.where("valid_to IS NULL").collect()
+    assert {r["posting_date"]: r["sequence_number"] for r in opened} == current
 
 
 def test_reading_some_dates_reads_only_their_partitions(feed, tmp_path):
