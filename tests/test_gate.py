@@ -263,6 +263,25 @@ def test_a_build_never_mixes_two_cuts_of_one_source(spark):
         gold.version_label([gold.PinnedInput("db", "1", rows), gold.PinnedInput("db", "2", rows)])
 
 
+def test_inputs_are_labelled_by_what_was_read(spark):
+    changes = spark.createDataFrame([("t1", 1), ("t2", 2)], "transaction_id string, n int")
+    ends = spark.createDataFrame([("t1", 5), ("t2", 6)], "transaction_id string, position bigint")
+    found = gold.at_cut("db", changes, ends, ends.where("position = 5").first())
+    assert (found.at, [r["n"] for r in found.rows.collect()]) == ("5", [1])
+
+    rows = spark.createDataFrame(
+        [("p", "f", DAY1, v, v) for v in (1, 2)],
+        "partner string, feed string, posting_date date, sequence_number bigint, n bigint")
+    later = NOW.replace(year=NOW.year + 1)
+    pointer = spark.createDataFrame(
+        [("p", "f", DAY1, 1, None, NOW, later), ("p", "f", DAY1, 2, None, later, None)],
+        "partner string, feed string, posting_date date, sequence_number bigint, "
+        "approved_by string, valid_from timestamp, valid_to timestamp")
+    found = gold.at_instant("p.f", rows, pointer, NOW).shaped(lambda known: known.select("n"))
+    assert [tuple(r) for r in found.rows.collect()] == [(1,)]
+    assert found.at == NOW.astimezone(UTC).replace(tzinfo=None).isoformat(sep=" ")
+
+
 def test_only_a_published_version_is_copied(spark):
     releases = spark.createDataFrame(
         [("fact", 1, None, ["a"], {"db": "7"}, "PUBLISHED", "", NOW, NOW, False),

@@ -9,8 +9,10 @@ from pyspark.sql import types as T
 
 from tieout import fixed_values as V
 from tieout.catalogue.cdc import CHANGES
-from tieout.catalogue.gate import FACT, FAULTY
+from tieout.catalogue.cut import UP_TO_CUT
+from tieout.catalogue.gate import FACT, FAULTY, pinned_inputs
 from tieout.catalogue.registry import ctes, query, shown, sql_shown
+from tieout.durable import materialise, scratch
 from tieout.functions import paise
 from tieout.model import ColumnRule, DataContract
 from tieout.operators import (
@@ -18,6 +20,7 @@ from tieout.operators import (
     bronze,
     events,
     features,
+    gold,
     health,
     privacy,
     quality,
@@ -487,7 +490,12 @@ def with_label(spark, sf):
 
 @query(
     "serving_trace",
-    """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+    UP_TO_CUT
+    + """, early AS (
+  SELECT position, transaction_id FROM tx
+  WHERE ended AND position <= (SELECT position FROM cut) AND committed_at < TIMESTAMP '2000-01-01'
+  ORDER BY position DESC LIMIT 1),
+days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
 whole AS (
   SELECT o_orderstatus AS partner, CAST(o_orderdate AS DATE) AS d, 1 + o_orderkey % 2 AS seq
   FROM orders GROUP BY ALL HAVING count(DISTINCT o_custkey % 2) >= max(1 + o_custkey % 2)),
@@ -497,9 +505,12 @@ known AS (
   HAVING d >= DATE '1998-01-01' OR min(seq) = 1)
 SELECT 'fact_transaction' AS table_name, CAST(d AS VARCHAR) AS slice,
        CAST(CASE WHEN d >= DATE '1998-01-01' THEN 2 ELSE 1 END AS BIGINT) AS release_id,
-       'sales' AS source, CASE WHEN d >= DATE '1998-01-01' THEN '20' ELSE '10' END AS at,
-       CASE WHEN d >= DATE '1998-01-01' THEN 'tx-20' ELSE 'tx-10' END AS origin
-FROM days
+       'sales' AS source,
+       CAST(CASE WHEN d >= DATE '1998-01-01' THEN cut.position ELSE early.position END AS VARCHAR)
+         AS at,
+       CASE WHEN d >= DATE '1998-01-01' THEN cut.transaction_id ELSE early.transaction_id END
+         AS origin
+FROM days, cut, early
 UNION ALL
 SELECT DISTINCT 'fact_transaction', CAST(d AS VARCHAR),
        CASE WHEN d >= DATE '1998-01-01' THEN 2 ELSE 1 END, partner || '.orders',
@@ -509,32 +520,34 @@ FROM known JOIN orders ON o_orderstatus = partner AND CAST(o_orderdate AS DATE)
  AND 1 + o_orderkey % 2 = seq""",
 )
 def trace(spark, sf):
-    """From each live date of the fact back to a transaction and to partner files."""
-    register, before = S.first_published(spark, sf)
-    after = S.second_published(spark, sf)
+    """From each live date of the fact back to a transaction and to partner files.
+
+    The releases carry the labels of their builds: the first was built at an earlier cut.
+    """
+    register, _ = S.first_published(spark, sf)
+    after = materialise(S.second_published(spark, sf))
     settled = register.join(
         after.select("partner", "feed", "posting_date", "sequence_number"),
         ["partner", "feed", "posting_date", "sequence_number"],
         "left_semi",
     ).withColumn("state", F.lit(V.PUBLISHED))
-    partners = register.select("partner").distinct().select(
-        F.concat(F.col("partner"), F.lit(".orders")).alias("source")
+    ends = C.new_ends(S.transactions(spark, sf))
+    landed = materialise(C.landed_counts(S.captured(spark, sf)))
+    before_2000 = ends.where(F.col("committed_at") < F.lit(datetime(2000, 1, 1)))
+    found = [
+        C.longest_complete_prefix(known, landed, S.TRACKED).first() for known in (before_2000, ends)
+    ]
+    published = (S.FIRST_PUBLISH, S.SECOND_PUBLISH)
+    labels = [
+        gold.version_label(pinned_inputs(spark, sf, cut, after, at + timedelta(hours=12)))
+        for cut, at in zip(found, published, strict=True)
+    ]
+    releases = spark.createDataFrame(
+        [(S.TABLE, i + 1, label) for i, label in enumerate(labels)],
+        "table_name string, release_id bigint, label map<string, string>",
     )
-
-    def log(release_id: int, position: int, at: str):
-        cut = spark.createDataFrame([("sales", str(position))], "source string, at string")
-        feeds = partners.withColumn("at", F.lit(at))
-        return cut.unionByName(feeds).groupBy().agg(
-            F.map_from_entries(F.collect_list(F.struct("source", "at"))).alias("label")
-        ).select(
-            F.lit(S.TABLE).alias("table_name"),
-            F.lit(release_id).cast("bigint").alias("release_id"),
-            "label",
-        )
-
-    releases = log(1, 10, "2001-09-01 12:00:00").unionByName(log(2, 20, "2001-09-02 12:00:00"))
     cuts = spark.createDataFrame(
-        [("sales", 10, "tx-10"), ("sales", 20, "tx-20")],
+        [("sales", cut["position"], cut["transaction_id"]) for cut in found],
         "source string, position bigint, transaction_id string",
     )
     return serving.trace(S.manifest(spark, sf), releases, cuts, after, settled)
@@ -641,9 +654,6 @@ LINE_CONTRACT = DataContract(
         ColumnRule("amount_paise", "bigint", required=True),
     ),
 )
-LOAN_CONTRACT = DataContract(
-    "lending.loan", (ColumnRule("status", required=True, allowed=V.LOAN_STATUSES),)
-)
 
 
 @query(
@@ -665,28 +675,47 @@ def evaluate(spark, sf):
 
 @query(
     "quality_evaluate_fact",
-    ctes(FACT, FAULTY)
-    + """SELECT 'required:txn_id' AS "check", CAST(0 AS BIGINT) AS failures
-UNION ALL SELECT 'required:customer_id', 0 UNION ALL SELECT 'required:business_line', 0
-UNION ALL SELECT 'required:business_date', 0 UNION ALL SELECT 'required:status', 0
-UNION ALL SELECT 'required:amount_paise', 0
+    ctes(FACT, FAULTY, """holed AS (
+  SELECT CASE WHEN amount_paise % 7 <> 0 THEN txn_id END AS txn_id,
+         CASE WHEN amount_paise % 11 <> 0 THEN customer_id END AS customer_id,
+         CASE WHEN amount_paise % 13 <> 0 THEN business_line END AS business_line,
+         CASE WHEN amount_paise % 17 <> 0 THEN business_date END AS business_date,
+         CASE WHEN amount_paise % 23 <> 0 THEN amount_paise END AS amount_paise,
+         CASE WHEN amount_paise % 29 = 0 THEN 'LOST'
+              WHEN amount_paise % 19 <> 0 THEN status END AS status
+  FROM faulty)""")
+    + """SELECT 'required:txn_id' AS "check", count(*) - count(txn_id) AS failures FROM holed
+UNION ALL SELECT 'required:customer_id', count(*) - count(customer_id) FROM holed
+UNION ALL SELECT 'required:business_line', count(*) - count(business_line) FROM holed
+UNION ALL SELECT 'required:business_date', count(*) - count(business_date) FROM holed
+UNION ALL SELECT 'required:amount_paise', count(*) - count(amount_paise) FROM holed
+UNION ALL SELECT 'required:status', count(*) - count(status) FROM holed
 UNION ALL SELECT 'invalidValues:status', count(*) FILTER (
   status NOT IN ('INITIATED', 'AUTHORISED', 'SETTLED', 'PARTIALLY_SETTLED', 'REVERSED', 'FAILED'))
-  FROM faulty
-UNION ALL SELECT 'primaryKey', count(*) - count(DISTINCT txn_id) FROM faulty""",
+  FROM holed
+UNION ALL SELECT 'primaryKey', count(*) - count(DISTINCT txn_id) FROM holed""",
 )
 def evaluate_fact(spark, sf):
-    return quality.evaluate(S.faulty_fact(spark, sf), FACT_CONTRACT)
+    """Every column lacks its value in some rows, and one status is not in the contract."""
+    amount = F.col("amount_paise")
+    gaps = {
+        "txn_id": 7, "customer_id": 11, "business_line": 13, "business_date": 17,
+        "amount_paise": 23, "status": 19,
+    }
+    holed = {c: F.when(amount % n != 0, F.col(c)) for c, n in gaps.items()}
+    holed["status"] = F.when(amount % 29 == 0, "LOST").otherwise(holed["status"])
+    return quality.evaluate(S.faulty_fact(spark, sf).withColumns(holed), FACT_CONTRACT)
 
 
 @query(
     "quality_value_drift",
     """SELECT 'status' AS column_name, event_type AS value, count(*) AS rows
-FROM events GROUP BY ALL""",
+FROM events WHERE event_type IS NULL OR event_type NOT IN ('view', 'click') GROUP BY ALL""",
 )
 def value_drift(spark, sf):
-    """Event types stand for loan statuses; the contract knows none of them."""
-    return quality.value_drift(S.changes(spark, sf), LOAN_CONTRACT)
+    """Event types stand for loan statuses; the contract knows two of them."""
+    known = ColumnRule("status", required=True, allowed=(*V.LOAN_STATUSES, "view", "click"))
+    return quality.value_drift(S.changes(spark, sf), DataContract("lending.loan", (known,)))
 
 
 @query(
@@ -717,9 +746,19 @@ def report(spark, sf):
     )
 
 
-@query("health_files_per_partition")
+@query(
+    "health_files_per_partition",
+    """SELECT l_returnflag, count(*) AS rows,
+       count(DISTINCT strftime(l_shipdate, '%Y-%m')) AS files
+FROM lineitem GROUP BY ALL""",
+)
 def files_per_partition(spark, sf):
-    """Depends on how the table is stored, so there is no SQL for it."""
-    return health.files_per_partition(given(spark, sf, "lineitem"), "l_returnflag")
+    """Lines stored with one file per flag and month of shipping."""
+    layout = ("l_returnflag", "month")
+    month = F.date_format("l_shipdate", "yyyy-MM").alias("month")
+    lines = given(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", month)
+    path = scratch(spark, "lines-by-month")
+    lines.repartition(*layout).write.partitionBy(*layout).parquet(path)
+    return health.files_per_partition(spark.read.parquet(path), "l_returnflag")
 
 

@@ -61,7 +61,7 @@ def _cut(spark, sf):
     return C.longest_complete_prefix(_ends(spark, sf), _landed(spark, sf), S.TRACKED)
 
 
-def _found_cut(spark, sf):
+def found_cut(spark, sf):
     """The cut as later steps take it: one row that was decided before."""
     return materialise(_cut(spark, sf))
 
@@ -135,7 +135,7 @@ WHERE source_table = 'public.lineitem' AND transaction_id IN (
   SELECT transaction_id FROM tx WHERE ended AND position <= (SELECT position FROM cut))""",
 )
 def changes_in_cut(spark, sf):
-    rows = C.changes_in_cut(S.bronze_lineitem(spark, sf), _ends(spark, sf), _found_cut(spark, sf))
+    rows = C.changes_in_cut(S.bronze_lineitem(spark, sf), _ends(spark, sf), found_cut(spark, sf))
     return rows.select("line_id", "source_lsn")
 
 
@@ -151,7 +151,7 @@ GROUP BY source_table""",
 )
 def advance_all_tables(spark, sf):
     """Every table of the source merged up to the same cut."""
-    cut, ends = _found_cut(spark, sf), _ends(spark, sf)
+    cut, ends = found_cut(spark, sf), _ends(spark, sf)
     specs = {
         "public.orders": MergeSpec(("order_id",), ("status", "amount_paise")),
         "public.lineitem": MergeSpec(("line_id",), ("amount_paise",)),
@@ -175,7 +175,7 @@ def advance_all_tables(spark, sf):
 )
 def read_at(spark, sf):
     """The fact as it stood at the cut that named its first release, although a second is live."""
-    cut = _found_cut(spark, sf)
+    cut = found_cut(spark, sf)
     cuts = cut.select(
         F.lit("sales").alias("source"),
         "position",
@@ -215,7 +215,7 @@ SELECT 'returns', business_date, false, 'cut has reached nothing yet' FROM days"
 )
 def input_status(spark, sf):
     """One source has a cut; the other has none yet."""
-    cut = _found_cut(spark, sf).withColumn("source", F.lit("sales"))
+    cut = found_cut(spark, sf).withColumn("source", F.lit("sales"))
     return C.input_status(cut, C.cutoffs(_source_dates(spark, sf)))
 
 

@@ -4,6 +4,7 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from tieout.catalogue.cut import UP_TO_CUT, found_cut
 from tieout.catalogue.deliveries import (
     FIRST,
     PARTS,
@@ -476,29 +477,60 @@ def tag(spark, sf):
 
 @query(
     "gold_build_fact",
-    ctes(FACT)
-    + """, versions AS (
+    UP_TO_CUT
+    + f""", {FACT}, versions AS (
   SELECT o_orderstatus AS partner, CAST(o_orderdate AS DATE) AS posting_date,
          1 + o_orderkey % 2 AS seq
   FROM orders GROUP BY ALL
-  HAVING count(DISTINCT o_custkey % 2) >= max(1 + o_custkey % 2))
-SELECT txn_id, customer_id, business_line, amount_paise, status, business_date FROM fact
-WHERE business_date <= DATE '2001-07-01' AND amount_paise > 0
-UNION ALL
-SELECT 'file-' || o_orderkey, partner, 'orders', CAST(round(o_totalprice * 100) AS BIGINT),
-       'SETTLED', posting_date
-FROM orders JOIN versions ON partner = o_orderstatus AND posting_date = CAST(o_orderdate AS DATE)
- AND seq = 1 + o_orderkey % 2
-WHERE seq = 1""",
+  HAVING count(DISTINCT o_custkey % 2) >= max(1 + o_custkey % 2)),
+built AS (
+  SELECT txn_id, customer_id, business_line, amount_paise, status, business_date FROM fact
+  WHERE 'tx-' || txn_id IN (SELECT transaction_id FROM tx
+                            WHERE ended AND position <= (SELECT position FROM cut))
+  UNION ALL
+  SELECT 'file-' || o_orderkey, partner, 'orders', CAST(round(o_totalprice * 100) AS BIGINT),
+         'SETTLED', posting_date
+  FROM orders JOIN versions ON partner = o_orderstatus
+   AND posting_date = CAST(o_orderdate AS DATE) AND seq = 1 + o_orderkey % 2
+  WHERE seq = 1),
+sources AS (
+  SELECT DISTINCT o_orderstatus || '.orders@2001-09-01 12:00:00' AS read_at FROM orders
+  UNION ALL SELECT 'sales@' || position FROM cut)
+SELECT *, (SELECT string_agg(read_at, ', ' ORDER BY read_at) FROM sources) AS version_label
+FROM built""",
 )
 def build_fact(spark, sf):
     """A database at its cut and partner files as known at one instant, under one label."""
-    ends = C.new_ends(S.transactions(spark, sf))
+    (cut,) = found_cut(spark, sf).collect()
+    moment = S.FIRST_PUBLISH + timedelta(hours=12)
+    inputs = pinned_inputs(spark, sf, cut, S.second_published(spark, sf), moment)
+    label = _text(gold.version_label(inputs))
+    return gold.build_fact(inputs).withColumn("version_label", F.lit(label))
+
+
+def pinned_inputs(spark, sf, cut, pointer, moment) -> list[gold.PinnedInput]:
+    """What the fact is built from: orders up to a cut, each partner feed at one instant."""
     orders = S.fact(spark, sf).withColumn(
         "transaction_id", F.concat(F.lit("tx-"), F.col("txn_id"))
     )
-    moment = datetime(2001, 9, 1, 12, tzinfo=UTC)
-    files = D.as_known_at(S.file_rows(spark, sf), S.second_published(spark, sf), moment).select(
+    files = S.file_rows(spark, sf)
+    # One input per feed that a contract declares.
+    feeds = sorted(tuple(r) for r in files.select("partner", "feed").distinct().collect())
+    partners = [
+        gold.at_instant(
+            f"{partner}.{feed}",
+            files.where((F.col("partner") == partner) & (F.col("feed") == feed)),
+            pointer,
+            moment,
+        ).shaped(_settlements)
+        for partner, feed in feeds
+    ]
+    ends = C.new_ends(S.transactions(spark, sf))
+    return [gold.at_cut("sales", orders, ends, cut), *partners]
+
+
+def _settlements(files):
+    return files.select(
         F.concat(F.lit("file-"), "settlement_id").alias("txn_id"),
         F.col("partner").alias("customer_id"),
         F.col("feed").alias("business_line"),
@@ -506,9 +538,3 @@ def build_fact(spark, sf):
         F.lit("SETTLED").alias("status"),
         F.col("posting_date").alias("business_date"),
     )
-    return gold.build_fact(
-        [
-            gold.PinnedInput("sales", "horizon", C.only_transactions(orders, ends)),
-            gold.PinnedInput("partners", moment.isoformat(), files),
-        ]
-    )
