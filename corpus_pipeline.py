@@ -31,17 +31,21 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id, and one row of it.
+    """One row of each group of near copies: one with the smallest id, of these the first.
 
     Rows without doc_id stay only if their whole group has none, and then one of them.
     """
-    found = simhash.near_duplicates(docs)
-    # One fingerprint per kept id: repeated rows and rows that share an id are told apart by it.
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    met = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id")).join(
-        kept, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi"
+    # Numbers that are written with the rows tell repeated rows and rows that share an id apart.
+    numbered = stored(
+        docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")),
+        "numbered",
     )
-    return met.select("row.*")
+    found = simhash.grouped(
+        numbered.select("row.doc_id", "row.text", "number"), carried=("number",)
+    )
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = first.groupBy("root").agg(F.min("number").alias("number")).select("number")
+    return numbered.join(kept, "number", "left_semi").select("row.*")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from test_simhash import plain_fingerprint
+from test_simhash import groups, plain_fingerprint
 from test_texts import removed
 from pyspark.sql import functions as F
 
@@ -45,3 +45,28 @@ def test_odd_rows_pass_through(spark):
     assert found.count() >= docs.count() - 1
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, both.limit(0), FOLDER).count() == 0
+
+
+def test_one_row_of_each_group_of_near_copies(spark, documents):
+    base = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").take(12)]
+    rows = [(i, t) for i, t in enumerate(base[:5])]
+    rows += [(0, base[0])] * 3 + [(2, base[2].upper())]  # repeated rows
+    rows += [(3, base[6]), (3, base[6]), (3, base[1])]  # an id with texts of its own and of a smaller id
+    rows += [(None, base[4]), (None, base[7]), (None, base[7]), (None, base[8]), (None, base[4])]
+    rows += [(20, base[8]), (21, base[9]), (20, base[9]), (22, None), (23, ""), (None, " ")]
+    docs = documents(rows)
+    prints = [plain_fingerprint(t) for _, t in rows]
+    linked = [(a, b) for a, p in enumerate(prints) for b, q in enumerate(prints) if a < b and (p ^ q).bit_count() <= 2]
+    group = groups(range(len(rows)), linked)
+    expected = []
+    for g in set(group.values()):
+        ids = [rows[n][0] for n in group if group[n] == g]
+        least = min((i for i in ids if i is not None), default=None)
+        expected.append((least, g))
+    found = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert found.columns == docs.columns and found.dtypes == docs.dtypes
+    by_print = {plain_fingerprint(t): g for (_, t), g in zip(rows, (group[n] for n in range(len(rows))), strict=True)}
+    got = [(r.doc_id, by_print[plain_fingerprint(r.text)]) for r in found.collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    assert sum(i is None for i, _ in got) == 1 and sum(i == 3 for i, _ in got) == 2

@@ -95,19 +95,17 @@ def links(
     )
 
 
-def near_duplicates(
+def grouped(
     documents: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
     max_distance: int = MAX_DISTANCE,
     id_column: str = "doc_id",
     text_column: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row.
+    """(doc_id, *carried, fp, root, component_id) of every row; `root` is the group's own number.
 
-    Null and empty texts have fingerprint zero and link like any other. Repeated rows give
-    repeated results. A null doc_id gets the component of its fingerprint and never names one;
-    where every doc_id of a component is null, component_id is null. Other columns are not read.
-    An empty table gives an empty table.
+    Groups that have no doc_id, or that share one, differ in `root` alone.
     """
 
     @F.pandas_udf("bigint")
@@ -117,7 +115,9 @@ def near_duplicates(
 
     rows = stored(
         documents.select(
-            F.col(id_column).cast("bigint").alias("doc_id"), fp(F.col(text_column)).alias("fp")
+            F.col(id_column).cast("bigint").alias("doc_id"),
+            *carried,
+            fp(F.col(text_column)).alias("fp"),
         ),
         "fingerprints",
     )
@@ -129,8 +129,26 @@ def near_duplicates(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
+    classes = rooted.join(named, "root").select("fp", "root", "component_id")
+    return rows.join(classes, "fp").select("doc_id", *carried, "fp", "root", "component_id")
+
+
+def near_duplicates(
+    documents: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    max_distance: int = MAX_DISTANCE,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row.
+
+    Null and empty texts have fingerprint zero and link like any other. Repeated rows give
+    repeated results. A null doc_id gets the component of its fingerprint and never names one;
+    where every doc_id of a component is null, component_id is null. Other columns are not read.
+    An empty table gives an empty table.
+    """
+    found = grouped(documents, shingle_words, max_distance, id_column, text_column)
+    return found.select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
