@@ -92,6 +92,21 @@ def test_packing_holds_every_token_once(spark, documents, monkeypatch):
     assert empty.collect() == []
 
 
+def test_packing_of_long_whitespace(spark, documents):
+    n = 1_010_000
+    texts = [f"a{' ' * n}b<|endoftext|> c", f"{chr(10) * n}x", "y" + "\t \u00a0" * (n // 3), "x" + " " * 99_999 + "y"]
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = packing.pack(documents(list(enumerate(texts))), BYTE_RANKS, public_tokenizers.PATTERN)
+    got = {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in found.collect()}
+    expected = {}
+    for i, text in enumerate(texts):
+        ids = [*own.encode(text, add_special_tokens=False).ids, 2]
+        raw = b"".join(x.to_bytes(4, "little") for x in ids)
+        for s, k in packing.cut(len(ids)):
+            expected[(i, s)] = (k, zlib.crc32(raw[4 * s : 4 * (s + k)]))
+    assert got == expected
+
+
 def test_evolution_is_never_worse_than_best_fit():
     draw = random.Random(5)
     for seed in range(6):

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 import zlib
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,11 @@ CROSSOVERS = 10
 #: Groups that an island sends on, at most this share of its own.
 ELITE_SHARE = 0.1
 _SPECIAL = "<|endoftext|>"
+#: tiktoken's pattern keeps a state per whitespace character of a run and panics at a million; a
+#: text with a run of this many characters goes to the slower `tokenizers`, which has no such bound.
+LONG_RUN = 100_000
+#: All that the pattern takes for whitespace, and four control characters more.
+_WHITESPACE = re.compile(r"\s+")
 
 
 @lru_cache(maxsize=1)
@@ -44,10 +51,28 @@ def _encoding(rank_file: str, pattern: str):
     )
 
 
+@lru_cache(maxsize=1)
+def _library(rank_file: str):
+    """The tokenizer that `tokenizers` reads from the vocabulary beside the rank file."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(str(Path(rank_file).with_suffix(".json")))
+
+
+def has_long_run(text: str) -> bool:
+    return len(text) >= LONG_RUN and any(
+        m.end() - m.start() >= LONG_RUN for m in _WHITESPACE.finditer(text)
+    )
+
+
 def token_ids(text: str | None, rank_file: str, pattern: str) -> np.ndarray:
     """Ids of a whole text, with the end id; the tokenizer's one special token has the next id."""
+    text = text or ""
+    if has_long_run(text):
+        ids = _library(rank_file).encode(text, add_special_tokens=False).ids
+        return np.array([*ids, END_ID], "<u4")
     encoding = _encoding(rank_file, pattern)
-    parts = (text or "").split(_SPECIAL)
+    parts = text.split(_SPECIAL)
     ids = encoding.encode_ordinary(parts[0])
     for part in parts[1:]:
         ids.append(len(encoding._mergeable_ranks))
