@@ -245,6 +245,40 @@ def test_quality_edges(spark, documents):
     assert quality.Model.score(quality.train(frame, labels.limit(0)), "") == 0.5
 
 
+def test_copies_of_a_document_teach_once(spark, documents):
+    rows = [(i, "good words here" if i % 2 else "bad !! bad !!") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    plain = quality.train(documents(rows), labels)
+    copied = quality.train(documents(rows + [rows[7]] * 500), labels)
+    assert plain.bias == copied.bias and (plain.weights == copied.weights).all()
+    # Other texts of one id are no more examples either, and the bound holds.
+    many = documents(rows + [(8, f"text {n}") for n in range(300)] + [(9, None)])
+    found = quality.examples(many, labels)
+    assert found.count() == found.select("place").distinct().count() == 40
+    assert quality.examples(many, labels, 11).count() == 11
+
+
+def test_sample_is_sought_by_many_tasks(spark, documents, monkeypatch):
+    rows = [(i, "good words here" if i % 2 else "bad !! bad !!") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    frame, plans = documents(rows), []
+    kept = type(frame).mapInPandas
+
+    def seen(self, *args, **names):
+        out = kept(self, *args, **names)
+        plans.append(out._jdf.queryExecution().sparkPlan().toString())
+        return out
+
+    monkeypatch.setattr(type(frame), "mapInPandas", seen)
+    quality.train(frame, labels)
+    lines = plans[-1].splitlines()
+    # The one task of the trainer stands on a shuffle, and the join with the sample below it.
+    trainer = next(n for n, line in enumerate(lines) if "MapInPandas" in line)
+    shuffle = next(n for n, line in enumerate(lines) if "Exchange SinglePartition" in line)
+    join = next(n for n, line in enumerate(lines) if "Join" in line)
+    assert trainer < shuffle < join
+
+
 def test_ngrams_lose_nothing_between_parts(monkeypatch):
     text = " ".join(prose(1, 9, 50))
     whole = sorted(n for part in quality.ngrams(text) for n in part.tolist())

@@ -130,18 +130,12 @@ def _fit_rows(bits: int, epochs: int, batches):
     )
 
 
-def train(
-    documents: DataFrame,
-    labels: DataFrame,
-    sample_rows: int = SAMPLE_ROWS,
-    bits: int = BITS,
-    epochs: int = EPOCHS,
-) -> Model:
-    """The model of `documents` (doc_id, text) whose `labels` (doc_id, quality) is 0 or 1.
+def examples(
+    documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """(place, text, label) of at most `sample_rows` labelled ids, one row of each.
 
-    Rows with a null doc_id or another label teach nothing; null texts count as empty. At most
-    `sample_rows` labelled rows, chosen by a hash of doc_id, are learnt, and at most 2 ** bits
-    weights reach the driver.
+    Of an id's rows the text with the least hash is taken, so that copies weigh no more than one.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("quality").alias("label"))
@@ -156,7 +150,25 @@ def train(
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    rows = texts.select("place", "text", "label").coalesce(1)
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    one = texts.groupBy("doc_id", "place", "label").agg(least)
+    return one.select("place", "least.text", "label")
+
+
+def train(
+    documents: DataFrame,
+    labels: DataFrame,
+    sample_rows: int = SAMPLE_ROWS,
+    bits: int = BITS,
+    epochs: int = EPOCHS,
+) -> Model:
+    """The model of `documents` (doc_id, text) whose `labels` (doc_id, quality) is 0 or 1.
+
+    Rows with a null doc_id or another label teach nothing; null texts count as empty. At most
+    `sample_rows` labelled ids, chosen by a hash of doc_id, are learnt, one row of each, and at
+    most 2 ** bits weights reach the driver. All tasks look for the sample; one receives it.
+    """
+    rows = examples(documents, labels, sample_rows).repartition(1)
     found = rows.mapInPandas(partial(_fit_rows, bits, epochs), "at int, weight double").toPandas()
     weights, bias = np.zeros(1 << bits, np.float32), 0.0
     for at, w in found.itertuples(index=False):
