@@ -1,10 +1,11 @@
-"""Removal of word passages that occur earlier in the corpus, by relative Lempel-Ziv parsing.
-
-The corpus is its own reference. An index, cut into blocks by hash, holds every reference phrase of
-`window` words under its first place. A document is parsed against all blocks from left to right:
-a factor is a longest run of phrases that the index holds at an earlier place. Every phrase of a
-document is looked up, those across two factors too, so that a phrase that begins in one factor
-and ends in the next is found like any other. The words of all factors are removed.
+"""Removal of word passages that occur earlier in the corpus, by exact window hashing.
+
+Relative Lempel-Ziv parsing was the method dealt; this is not it. No document is read from left to
+right, no longest match is extended and no factor has a place in a reference. Instead the 96-bit
+hashes of all windows of `window` words whose anchor repeats meet by value, and every window but
+the first of its hash is removed: equal windows share a hash, wherever a factor would begin or end.
+Greedy factors would need the windows across two factors looked up a second time, and each
+document to be parsed against the reference in order; the join by hash needs neither.
 
 Two steps keep the index small. Phrases choose an anchor, their least hash of `anchor` words, so
 equal phrases choose equal anchors; only phrases whose anchor occurs twice in the corpus are looked
