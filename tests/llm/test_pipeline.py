@@ -1,10 +1,17 @@
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+
 import corpus_pipeline
+import public_tokenizers
 from test_simhash import groups, plain_fingerprint
 from test_texts import removed
 from pyspark.sql import functions as F
 
+from tieout.llm import language_id, packing, quality
+from tieout.llm.queries import BYTE_RANKS
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -70,3 +77,51 @@ def test_one_row_of_each_group_of_near_copies(spark, documents):
     key = lambda x: (x[0] is None, x[0] or 0, x[1])
     assert sorted(got, key=key) == sorted(expected, key=key)
     assert sum(i is None for i, _ in got) == 1 and sum(i == 3 for i, _ in got) == 2
+
+
+def test_run_against_brute_force_of_every_stage(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    frame, rows = docs, [tuple(r) for r in docs.collect()]
+    at = {c: k for k, c in enumerate(docs.columns)}
+    i, t = at["doc_id"], at["text"]
+
+    def languages(rows):
+        judged = language_id.predict(frame, language_id.train(frame)).collect()
+        return [tuple(r[c] for c in docs.columns) for r in judged
+                if r.lang_pred != language_id.UNDETERMINED and r.score >= 0.5]
+
+    def qualities(rows):
+        model = quality.train(frame, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+        return [r for r in rows if model.score(r[t]) >= 0.5]
+
+    def firsts(rows):
+        prints = [plain_fingerprint(r[t]) for r in rows]
+        linked = [(a, b) for a, p in enumerate(prints) for b, q in enumerate(prints)
+                  if a < b and (p ^ q).bit_count() <= 2]
+        group, best = groups(range(len(rows)), linked), {}
+        for n, r in enumerate(rows):
+            best[group[n]] = min(best.get(group[n], r), r, key=lambda r: r[i])
+        return list(best.values())
+
+    def unrepeated(rows):
+        rows = sorted(rows, key=lambda r: r[i])
+        out = []
+        for n, (_, gone, left) in removed([(r[i], r[t]) for r in rows]).items():
+            r = list(rows[n])
+            if gone:
+                r[t], r[at["n_chars"]] = left, len(left)
+            out.append(tuple(r))
+        return out
+
+    expected = [languages, qualities, firsts, unrepeated]
+    for (name, stage), plain in zip(corpus_pipeline.STAGES[:-1], expected, strict=True):
+        rows = plain(rows)
+        frame = stage(spark, frame, FOLDER).cache()
+        assert rows and Counter(map(tuple, frame.collect())) == Counter(rows), name
+    pieces = Counter()
+    for r in rows:
+        ids = packing.token_ids(r[t], BYTE_RANKS, public_tokenizers.PATTERN)
+        for k, (s, n) in enumerate(packing.cut(len(ids))):
+            pieces[(r[i], k, s, n, zlib.crc32(ids[s : s + n].tobytes()))] += 1
+    found = corpus_pipeline.run(spark, FOLDER).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == pieces
