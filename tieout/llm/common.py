@@ -47,3 +47,15 @@ def _each(function, args, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFr
     for batch in batches:
         if len(batch):
             yield function(batch, *args)
+
+
+def slices(raw: bytes, size: int = 1_000_000) -> Iterator[bytes]:
+    """The bytes in parts of some `size` that end before a space, however long one word is."""
+    start = 0
+    while len(raw) - start > size:
+        cut = raw.find(b" ", start + size)
+        if cut < 0:
+            break
+        yield raw[start:cut]
+        start = cut
+    yield raw[start:]

@@ -12,6 +12,7 @@ from tieout.llm import (
     language_id,
     packing,
     quality,
+    quality_rules,
     simhash,
     substring_dedup,
     topk,
@@ -88,12 +89,23 @@ def op10_url_filters(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"), URL_RULES).drop("template")
 
 
+#: The measures that every document reports, whatever rejects it.
+RULE_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def op11_quality_rules(spark, sf):
+    found = quality_rules.cascade(table(spark, sf, "documents"), given=RULE_MEASURES)
+    repeated = 100 * F.col("n_repeat_words") > 20 * F.col("n_words")
+    failed = ((F.col("n_words") < 10) | repeated).alias("base_failed")
+    return found.select("doc_id", *RULE_MEASURES, failed, "kept")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_best_fit_packing, op3_embedding_near_dedup, op4_chat_formatting,
         op5_quality_classifier, op6_word_bpe, op7_simhash_near_dedup, op8_substring_dedup,
-        op9_exact_top_k, op10_url_filters,
+        op9_exact_top_k, op10_url_filters, op11_quality_rules,
     )
 }
 
@@ -152,5 +164,36 @@ r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op11_quality_rules": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+l AS (
+  SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d),
+v AS (
+  SELECT r, unnest(range(1, len(words) - 3)) AS start, words FROM w WHERE len(words) >= 5),
+f AS (SELECT r, start, array_to_string(words[start : start + 4], ' ') AS phrase FROM v),
+g AS (SELECT r, start, count(*) OVER (PARTITION BY r, phrase) > 1 AS again FROM f),
+p AS (SELECT DISTINCT r, unnest(range(start, start + 5)) AS place FROM g WHERE again),
+n AS (SELECT r, count(*) AS n_repeat_words FROM p GROUP BY r),
+m AS (
+  SELECT w.r, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(lines) AS n_lines,
+    len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS n_lettered,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[•\-*]'))) AS n_bullets,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipses
+  FROM w JOIN l USING (r) LEFT JOIN n USING (r)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words
+    OR word_chars > 10 * n_words OR 10 * n_lettered < 8 * n_words OR 10 * n_dup_lines > 3 * n_lines
+    OR 10 * n_bullets > 9 * n_lines OR 10 * n_ellipses > 3 * n_lines) AS kept
+FROM b
 """,
 }
