@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tieout.llm import (
     chat,
     embedding_dedup,
+    importance,
     language_id,
     packing,
     quality,
@@ -100,12 +101,17 @@ def op11_quality_rules(spark, sf):
     return found.select("doc_id", *RULE_MEASURES, failed, "kept")
 
 
+def op12_importance_resampling(spark, sf):
+    return importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_best_fit_packing, op3_embedding_near_dedup, op4_chat_formatting,
         op5_quality_classifier, op6_word_bpe, op7_simhash_near_dedup, op8_substring_dedup,
         op9_exact_top_k, op10_url_filters, op11_quality_rules,
+        op12_importance_resampling,
     )
 }
 
@@ -195,5 +201,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR word_chars > 10 * n_words OR 10 * n_lettered < 8 * n_words OR 10 * n_dup_lines > 3 * n_lines
     OR 10 * n_bullets > 9 * n_lines OR 10 * n_ellipses > 3 * n_lines) AS kept
 FROM b
+""",
+    "op12_importance_resampling": r"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i AS c FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM bits WHERE k < 8),
+tab AS (SELECT i, c AS t FROM bits WHERE k = 8),
+lower_cased AS (
+  SELECT 0 AS side, row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), NULL,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+  FROM benchmark),
+w AS (
+  SELECT side, r, doc_id,
+    regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM lower_cased),
+u AS (SELECT side, r, unnest(words) AS word, unnest(range(len(words))) AS place FROM w),
+o AS (
+  SELECT side, r, word AS f FROM u
+  UNION ALL
+  SELECT a.side, a.r, a.word || ' ' || b.word
+  FROM u a JOIN u b ON a.side = b.side AND a.r = b.r AND a.place + 1 = b.place),
+n AS (SELECT side, r, f, count(*) AS n FROM o GROUP BY ALL),
+d AS (SELECT DISTINCT f, hex(encode(f)) AS hx FROM n),
+crc AS (
+  SELECT f, hx, 1 AS pos, CAST(4294967295 AS BIGINT) AS c FROM d
+  UNION ALL
+  SELECT f, hx, pos + 2, xor(c >> 8, t)
+  FROM crc JOIN tab ON i = xor(c, CAST('0x' || substr(hx, pos, 2) AS BIGINT)) & 255
+  WHERE pos < length(hx)),
+b AS (SELECT f, xor(c, 4294967295) % 10000 AS bucket FROM crc WHERE pos > length(hx)),
+h AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 0), 0) AS s,
+         coalesce(sum(n) FILTER (WHERE side = 1), 0) AS t
+  FROM n JOIN b USING (f) GROUP BY bucket),
+total AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM h),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE)
+                                      / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS g
+  FROM h, total),
+m AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * g) AS BIGINT) AS total
+  FROM n JOIN b USING (f) JOIN gain USING (bucket) WHERE side = 0 GROUP BY r),
+e AS (
+  SELECT w.r, doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features,
+    CASE WHEN n_features IS NULL THEN 0
+         ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS weight,
+    CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM w LEFT JOIN m ON w.r = m.r WHERE side = 0),
+z AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM e),
+k AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank,
+         count(*) OVER () AS total
+  FROM z WHERE n_words >= 20)
+SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN rank <= 25 * total // 100 THEN rank END AS rank
+FROM z LEFT JOIN k USING (r)
 """,
 }
