@@ -18,6 +18,7 @@ from tieout.llm import (
     substring_dedup,
     topk,
     url_filter,
+    whitening,
     word_bpe,
 )
 from tieout.llm.common import table
@@ -105,13 +106,17 @@ def op12_importance_resampling(spark, sf):
     return importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op13_embedding_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_best_fit_packing, op3_embedding_near_dedup, op4_chat_formatting,
         op5_quality_classifier, op6_word_bpe, op7_simhash_near_dedup, op8_substring_dedup,
         op9_exact_top_k, op10_url_filters, op11_quality_rules,
-        op12_importance_resampling,
+        op12_importance_resampling, op13_embedding_whitening,
     )
 }
 
