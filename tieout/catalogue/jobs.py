@@ -5,7 +5,7 @@ They write under the session's checkpoint folder and return what a reader sees a
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from tieout.operators import deliveries as D
 from tieout.plans import cut_advance, file_delivery, gate_publish, merge
 from tieout.sources import derived as S
 from tieout.sources.stream import given_stream
+from tieout.sources.tables import given
 from tieout.streaming import changes as change_stream
 from tieout.streaming import events as event_stream
 
@@ -250,3 +251,90 @@ def stream_signals(spark, sf):
     return _written(spark, scored).withColumns(shown("window_start", "window_end"))
 
 
+
+
+# Errors arrive one wave after their neighbours, and every purchase is sent again a wave later.
+WAVES = """waves AS (
+  SELECT event_id, ts, event_type, 1 + CAST(ts >= TIMESTAMP '2024-01-08' AS INT)
+         + CAST(ts >= TIMESTAMP '2024-01-15' AS INT) + CAST(event_type = 'error' AS INT) AS wave
+  FROM events),
+sent AS (
+  SELECT event_id, ts, wave FROM waves
+  UNION ALL SELECT event_id, ts, wave + 1 FROM waves WHERE event_type = 'purchase'),
+high AS (
+  SELECT wave, max(max(ts)) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         AS before
+  FROM sent GROUP BY wave)"""
+
+
+def sent_in_waves(spark, sf):
+    """The folder of a stream that takes one wave after the other, and its schema."""
+    ts, kind = F.col("event_ts"), F.col("event_type")
+    first = app_events(given(spark, sf, "events")).withColumn(
+        "wave",
+        F.lit(1)
+        + (ts >= F.lit(datetime(2024, 1, 8))).cast("int")
+        + (ts >= F.lit(datetime(2024, 1, 15))).cast("int")
+        + (kind == "error").cast("int"),
+    )
+    again = first.where(kind == "purchase").withColumn("wave", F.col("wave") + 1)
+    sent = first.unionByName(again)
+    path = scratch(spark, "sent")
+    for wave in range(1, 5):
+        one = sent.where(F.col("wave") == wave).drop("wave")
+        one.coalesce(1).write.mode("append").parquet(path)
+    return path, sent.drop("wave").schema
+
+
+def _settled_waves(spark, sf):
+    path, schema = sent_in_waves(spark, sf)
+    waves = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = scratch(spark, "settled")
+    event_stream.settle_stream(
+        waves, out, scratch(spark, "checkpoint"), timedelta(days=1), trigger=AVAILABLE
+    ).awaitTermination()
+    return out, schema
+
+
+@query(
+    "stream_late_exceptions",
+    ctes(WAVES)
+    + """SELECT event_id, s.wave,
+       CASE WHEN row_number() OVER (PARTITION BY event_id ORDER BY s.wave) > 1 THEN 'duplicate'
+            WHEN ts < before - INTERVAL 1 DAY THEN 'exception' ELSE 'accepted' END AS fate,
+       1::BIGINT AS copies
+FROM sent s JOIN high USING (wave)""",
+)
+def stream_late_exceptions(spark, sf):
+    """Every event that was sent, with the wave it came in and what became of it."""
+    out, schema = _settled_waves(spark, sf)
+    return event_stream.settled(spark, out, schema).select(
+        "event_id", (F.col("batch") + 1).cast("int").alias("wave"), "fate", "copies"
+    )
+
+
+@query(
+    "stream_signals_of_settled",
+    ctes(WAVES)
+    + """, settled AS (
+  SELECT event_id, coalesce(ts < before - INTERVAL 1 DAY, false) AS late,
+         row_number() OVER (PARTITION BY event_id ORDER BY s.wave) AS nth
+  FROM sent s JOIN high USING (wave)),
+signals AS (
+  SELECT e.user_id, date_trunc('hour', e.ts) AS window_start, count(*) AS events,
+         CAST(sum(CAST(round(e.value * 100) AS BIGINT)) AS BIGINT) AS amount_paise
+  FROM settled JOIN events e USING (event_id)
+  WHERE nth = 1 AND NOT late AND e.event_type IN ('purchase', 'error')
+  GROUP BY ALL)
+SELECT user_id, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, events, amount_paise
+FROM signals
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+)
+def stream_signals_of_settled(spark, sf):
+    """Signals of closed windows, from all that was accepted and nothing else."""
+    out, schema = _settled_waves(spark, sf)
+    rows = event_stream.accepted_stream(spark, out, schema)
+    scored = event_stream.score_stream(rows, watched(spark, sf), delay="1 day")
+    return _written(spark, scored).select(
+        "user_id", "window_start", "events", "amount_paise"
+    ).withColumns(shown("window_start"))

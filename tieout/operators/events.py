@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,68 @@ def late_exceptions(
     )
 
 
+#: What becomes of an event that arrives: it counts, it was here before, or it is recorded.
+ACCEPTED, DUPLICATE, EXCEPTION = "accepted", "duplicate", "exception"
+
+
+def settle(
+    batch: DataFrame,
+    seen: DataFrame,
+    closed_before: datetime | Column | None = None,
+    closed_dates: DataFrame | None = None,
+    key: str = "event_id",
+    time: str = "event_ts",
+    arrival: Sequence[str] = ("position",),
+) -> DataFrame:
+    """One row per event of a batch of arrivals: its first copy, `fate`, `reason` and `copies`.
+
+    `seen` has (event_date, key) of what was settled before; `batch` carries `event_date`. An event
+    that was seen is a duplicate, whenever it comes. One before `closed_before`, or of one of the
+    `closed_dates`, is an exception, as is each row without a key or a time. The rest is accepted.
+    Nothing is lost: `copies` sums up to the rows of the batch. Copies are folded before the
+    shuffle, so an event that holds a third of the batch sends one row per task. Copies carry the
+    same time; an event sent with times of two dates is two events.
+    """
+    content = F.struct(*batch.columns)
+    unknown = F.col(key).isNull() | F.col(time).isNull()
+    once = (
+        batch.where(~unknown)
+        .groupBy(key, "event_date")
+        .agg(
+            F.min_by(content, F.struct(*arrival)).alias("first"),
+            F.count(F.lit(1)).alias("copies"),
+        )
+        .select("first.*", "copies")
+    )
+    before = seen.select("event_date", key).distinct().withColumn("known", F.lit(True))
+    met = once.join(before, ["event_date", key], "left")
+    late = F.lit(False) if closed_before is None else F.col(time) < _instant(closed_before)
+    if closed_dates is not None:
+        closed = closed_dates.select(F.col("business_date").alias("event_date")).distinct()
+        met = met.join(closed.withColumn("closed", F.lit(True)), "event_date", "left")
+        reason = F.when(F.col("closed"), "late for a closed date").when(late, "late for its window")
+    else:
+        reason = F.when(late, "late for its window")
+    known = F.coalesce("known", F.lit(False))
+    settled = met.withColumn("reason", F.when(~known, reason)).withColumn(
+        "fate",
+        F.when(known, DUPLICATE).when(F.col("reason").isNotNull(), EXCEPTION).otherwise(ACCEPTED),
+    )
+    columns = [*batch.columns, "fate", "reason", "copies"]
+    nameless = batch.where(unknown).withColumns(
+        {
+            "fate": F.lit(EXCEPTION),
+            "reason": F.lit("without an event id or time"),
+            "copies": F.lit(1).cast("bigint"),
+        }
+    )
+    return settled.select(*columns).unionByName(nameless.select(*columns))
+
+
+def _instant(at: datetime | Column) -> Column:
+    return at if isinstance(at, Column) else F.lit(at)
+
+
 def validate(
     raw: DataFrame, schema: T.StructType, required: Sequence[str], text: str = "value"
 ) -> DataFrame:
