@@ -9,7 +9,12 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tieout import fixed_values as V
+from tieout.model import MergeSpec
+from tieout.operators import cdc
 from tieout.operators import events as E
+from tieout.plans import merge
+from tieout.streaming import changes as changes_stream
 from tieout.streaming import events as streams
 
 SCHEMA = "event_id int, event_ts timestamp, position int"
@@ -155,3 +160,137 @@ def test_signals_hold_every_accepted_event_of_a_closed_window(spark, tmp_path):
     running.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "signals"))
     assert got.agg(F.sum("events")).first()[0] == 120
+
+
+# ---- the state stream
+
+SPEC = MergeSpec(("k",), ("v", "big"), ("big",), buckets=16)
+CHANGE = "k string, v int, big string, op string, source_incarnation int, source_lsn long"
+NOW = datetime(2026, 3, 9)
+
+
+def changes(draw, n, lsn=0):
+    """Changes in the order of the source, a third of them of one key."""
+    for i in range(n):
+        k = "hot" if draw.random() < 0.33 else f"k{draw.randrange(40)}"
+        op = draw.choice("cuuud")
+        big = draw.choice([V.UNCHANGED, f"b{i}", None])
+        yield (k, None if op == "d" else i, None if op == "d" else big, op, 1, lsn + i + 1)
+
+
+def by_hand(rows):
+    """The state after the changes one by one."""
+    state = {}
+    for k, v, big, op, _, lsn in sorted(rows, key=lambda r: r[-1]):
+        if k in state and state[k][2] >= lsn:
+            continue
+        old = state.get(k, (None, None, 0, False))
+        kept = old[1] if big == V.UNCHANGED else big
+        state[k] = (None, None, lsn, True) if op == "d" else (v, kept, lsn, False)
+    return state
+
+
+def partitions_read(frame):
+    """Partitions that the frame's one scan reads."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    return plan.collectLeaves().head().metrics().get("numPartitions").get().value()
+
+
+def read_state(spark, path):
+    schema = spark.createDataFrame([], CHANGE).schema
+    found = changes_stream.state(spark, schema, SPEC, path)
+    rows = {r.k: (r.v, r.big, r.source_lsn, r.is_deleted) for r in found.collect()}
+    assert len(rows) == found.count()
+    return rows, found
+
+
+def test_a_state_merged_batch_by_batch(spark, tmp_path):
+    draw = random.Random(5)
+    rows = list(changes(draw, 240))
+    batches = [rows[:100], rows[60:170], rows[170:171], rows[150:]]
+    folder, path = str(tmp_path / "in"), str(tmp_path / "state")
+    files = []
+    for i, part in enumerate(batches):
+        write(spark, folder, part, CHANGE)
+        stream = spark.readStream.schema(CHANGE).option("maxFilesPerTrigger", 1).parquet(folder)
+        running = changes_stream.merge_state_stream(
+            stream, SPEC, path, str(tmp_path / "check"), NOW, {"availableNow": True}
+        )
+        running.awaitTermination()
+        got, found = read_state(spark, path)
+        assert got == by_hand([r for b in batches[: i + 1] for r in b])
+        files.append(partitions_read(found))
+    # Each bucket is read from one release, however many batches there were.
+    assert max(files) <= SPEC.buckets
+    # The batch of one change wrote one bucket.
+    written = spark.read.parquet(f"{path}/rows").where("release_id = 2")
+    assert written.select("slice").distinct().count() == 1
+
+
+def test_a_merge_killed_before_its_manifest_is_run_again(spark, tmp_path, monkeypatch):
+    draw = random.Random(6)
+    rows = list(changes(draw, 120))
+    path = str(tmp_path / "state")
+    empty = spark.readStream.schema(CHANGE).parquet(str(tmp_path / "i[n]"))
+    (tmp_path / "in").mkdir()
+    changes_stream.merge_state_stream(
+        empty, SPEC, path, str(tmp_path / "check"), NOW, {"availableNow": True}
+    ).awaitTermination()
+    first, second = (spark.createDataFrame(part, CHANGE) for part in (rows[:70], rows[50:]))
+    changes_stream.merge_state_batch(first, 0, SPEC, path, NOW)
+    before, _ = read_state(spark, path)
+    whole = changes_stream.merge.merge_buckets
+
+    def dies(*args):
+        merged = whole(*args)
+        return changes_stream.merge.Merged(merged.rows, None)
+
+    monkeypatch.setattr(changes_stream.merge, "merge_buckets", dies)
+    with pytest.raises(AttributeError):
+        changes_stream.merge_state_batch(second, 1, SPEC, path, NOW)
+    monkeypatch.setattr(changes_stream.merge, "merge_buckets", whole)
+    # Its rows are there, but nothing shows them.
+    assert spark.read.parquet(f"{path}/rows").where("release_id = 1").count() > 0
+    assert read_state(spark, path)[0] == before == by_hand(rows[:70])
+    for _ in range(2):
+        changes_stream.merge_state_batch(second, 1, SPEC, path, NOW)
+        assert read_state(spark, path)[0] == by_hand(rows)
+
+
+def test_an_unsupported_change_leaves_the_state_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "state")
+    (tmp_path / "in").mkdir()
+    empty = spark.readStream.schema(CHANGE).parquet(str(tmp_path / "i[n]"))
+    changes_stream.merge_state_stream(
+        empty, SPEC, path, str(tmp_path / "check"), NOW, {"availableNow": True}
+    ).awaitTermination()
+    good = [("a", 1, None, "c", 1, 1)]
+    changes_stream.merge_state_batch(spark.createDataFrame(good, CHANGE), 0, SPEC, path, NOW)
+    with pytest.raises(Exception, match="unsupported change operation: t"):
+        bad = spark.createDataFrame([("b", 1, None, "c", 1, 2), ("c", None, None, "t", 1, 3)], CHANGE)
+        changes_stream.merge_state_batch(bad, 1, SPEC, path, NOW)
+    assert read_state(spark, path)[0] == by_hand(good)
+
+
+def test_a_small_batch_reads_only_its_buckets(spark, tmp_path):
+    rows = [(f"k{i}", i, "x", "c", 1, 1) for i in range(400)]
+    frame = spark.createDataFrame(rows, CHANGE)
+    state = cdc.bucketed(cdc.apply_changes(cdc.empty_target(frame, SPEC), frame, SPEC, NOW), SPEC)
+    state.write.partitionBy("bucket").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(state.schema).parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame(
+        [("k3", 1, V.UNCHANGED, "u", 1, 2), ("new", 2, "y", "c", 1, 2)], CHANGE
+    )
+    put = merge.upserts(stored, SPEC, batch, NOW)
+    plan = put._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "PartitionFilters" in line)
+    buckets = {r.bucket for r in cdc.bucketed(batch, SPEC).collect()}
+    assert all(f"{b}" in scan.split("PartitionFilters")[1] for b in buckets) and "bucket" in scan
+    hit = stored.where(F.col("bucket").isin(merge.touched_buckets(batch, SPEC)))
+    assert partitions_read(hit) == len(buckets)
+    got = {r.k: (r.v, r.big, r.bucket) for r in put.collect()}
+    assert set(got) == {"k3", "new"} and got["k3"][:2] == (1, "x")
+    assert {b for *_, b in got.values()} == buckets
+    plain = merge.upserts(state.drop("bucket"), SPEC, batch, NOW)
+    assert {r.k: (r.v, r.big) for r in plain.collect()} == {k: v[:2] for k, v in got.items()}

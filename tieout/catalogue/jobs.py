@@ -196,6 +196,42 @@ def stream_merge(spark, sf):
     return change_stream.merged(appended, S.LOAN, S.MERGED_AT).drop("updated_at")
 
 
+@query("stream_merge_state", ctes(CHANGES, ALL) + f"SELECT {STATE} FROM state")
+def stream_merge_state(spark, sf):
+    """Changes merged in three micro-batches that overlap, each into the buckets it touches."""
+    changes = S.changes(spark, sf)
+    sent, at = scratch(spark, "changes"), F.col("ingest_ts")
+    for low, high in ((1, 12), (10, 20), (18, 32)):
+        days = F.dayofmonth(at).between(low, high)
+        changes.where(days).coalesce(1).write.mode("append").parquet(sent)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(sent)
+    path = scratch(spark, "state")
+    change_stream.merge_state_stream(
+        stream, S.LOAN, path, scratch(spark, "checkpoint"), S.MERGED_AT, AVAILABLE
+    ).awaitTermination()
+    return change_stream.state(spark, changes.schema, S.LOAN, path).drop("updated_at")
+
+
+@query(
+    "job_merge_pruned",
+    ctes(CHANGES, ALL)
+    + f"""SELECT {STATE} FROM state WHERE loan_id IN (
+  SELECT loan_id FROM changes WHERE ingest_ts >= TIMESTAMP '2024-01-30')""",
+)
+def merge_pruned(spark, sf):
+    """The last day's changes merged into a table stored by key bucket: the rows to put."""
+    last = datetime(2024, 1, 30)
+    changes = S.changes(spark, sf)
+    before = changes.where(F.col("ingest_ts") < F.lit(last))
+    state = merge.merge_batch(cdc.empty_target(before, S.LOAN), S.LOAN, before, S.MERGED_AT)
+    path = scratch(spark, "loan")
+    placed = cdc.bucketed(state, S.LOAN)
+    placed.write.partitionBy("bucket").parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path)
+    after = changes.where(F.col("ingest_ts") >= F.lit(last))
+    return merge.upserts(stored, S.LOAN, after, S.MERGED_AT).drop("updated_at", "bucket")
+
+
 @query(
     "stream_land_changes",
     """SELECT 'loan' AS source_table, strftime(ts, '%Y-%m-%d-%H') AS ingest_hour,
@@ -205,12 +241,41 @@ def stream_land_changes(spark, sf):
     path = scratch(spark, "bronze")
     raw = envelopes(S.changes_of(given_stream(spark, sf, "events")))
     running = change_stream.land(
-        raw, LOAN_ROW, 1, path, scratch(spark, "checkpoint"), AVAILABLE
+        raw, LOAN_ROW, 1, ["loan"], path, scratch(spark, "checkpoint"), AVAILABLE
+    )
+    running.awaitTermination()
+    landed = spark.read.option("mergeSchema", "false").parquet(path)
+    return landed.groupBy(
+        F.col("routed_to").alias("source_table"),
+        F.col("ingest_hour").cast("string").alias("ingest_hour"),
+    ).agg(F.count(F.lit(1)).alias("changes"))
+
+
+@query(
+    "stream_route_changes",
+    """SELECT CASE WHEN event_type = 'view' THEN 'unrouted' WHEN event_type = 'click' THEN 'unrouted'
+            ELSE 'loan' END AS routed_to,
+       CASE WHEN event_type = 'view' THEN '../other' WHEN event_type <> 'click' THEN 'loan'
+            END AS source_table,
+       event_type = 'click' AS unparsed, count(*) AS changes
+FROM events GROUP BY ALL""",
+)
+def stream_route_changes(spark, sf):
+    """Views come from a table that is not captured, clicks arrive cut off."""
+    path = scratch(spark, "routed")
+    sent = envelopes(S.changes_of(given_stream(spark, sf, "events")))
+    kind = F.get_json_object("value", "$.after.status")
+    value = F.when(
+        kind == "view", F.regexp_replace("value", '"table":"loan"', '"table":"../other"')
+    ).when(kind == "click", F.expr("left(value, length(value) - 1)"))
+    raw = sent.withColumn("value", F.coalesce(value, F.col("value")))
+    running = change_stream.land(
+        raw, LOAN_ROW, 1, ["loan"], path, scratch(spark, "checkpoint"), AVAILABLE
     )
     running.awaitTermination()
     landed = spark.read.option("mergeSchema", "false").parquet(path)
     return landed.groupBy(
-        "source_table", F.col("ingest_hour").cast("string").alias("ingest_hour")
+        "routed_to", "source_table", F.col("unparsed").isNotNull().alias("unparsed")
     ).agg(F.count(F.lit(1)).alias("changes"))
 
 

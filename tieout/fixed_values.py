@@ -8,6 +8,9 @@ OPERATIONS = ("c", "u", "d", "r")
 DELETE = "d"
 SNAPSHOT_READ = "r"
 
+# Parts that the keys of a current-state table are dealt into.
+KEY_BUCKETS = 64
+
 # Transaction record that closes a transaction.
 END = "END"
 

@@ -11,11 +11,16 @@ from tieout import fixed_values as V
 
 @dataclass(frozen=True)
 class MergeSpec:
-    """Columns of a current-state table. Large columns are a subset of the values."""
+    """Columns of a current-state table. Large columns are a subset of the values.
+
+    `buckets` is how many parts its keys are dealt into where it is stored by bucket.
+    """
 
     keys: tuple[str, ...]
     values: tuple[str, ...]
     large: tuple[str, ...] = ()
+    buckets: int = V.KEY_BUCKETS
+    name: str = "state"
 
     def __post_init__(self) -> None:
         if not set(self.large) <= set(self.values):

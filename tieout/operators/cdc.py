@@ -121,6 +121,12 @@ def live_rows(target: DataFrame) -> DataFrame:
     return target.where(~F.col("is_deleted"))
 
 
+def bucketed(rows: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Adds `bucket`, the part of the table that a row's key is stored in."""
+    hashed = F.xxhash64(*(F.col(k) for k in spec.keys))
+    return rows.withColumn("bucket", F.pmod(hashed, F.lit(spec.buckets)).cast("int"))
+
+
 def lineage(target: DataFrame, spec: MergeSpec) -> DataFrame:
     """Where each row came from: the position that wrote it, and whether that was a delete."""
     return target.select(*spec.keys, "source_incarnation", "source_lsn", "is_deleted", "updated_at")
