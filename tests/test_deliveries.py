@@ -224,6 +224,89 @@ def test_arrivals_are_decided_as_if_taken_one_by_one(spark, seed):
     assert {r["arrival"]: r["state"] for r in got} == greedy(parts)
 
 
+ARRIVING = (
+    "file_id string, file_hash string, partner string, feed string, posting_date date, "
+    "sequence_number bigint, part_number int, arrival bigint, problems string"
+)
+
+
+def arriving(spark, parts):
+    return spark.createDataFrame(
+        [(f"f{a}", h, "p", "x", MONDAY, 1, s, a, q) for a, h, s, q in parts], ARRIVING
+    )
+
+
+def decided(spark, parts):
+    got = D.classify_arrivals(arriving(spark, parts), spark.createDataFrame([], REGISTER))
+    return {r["arrival"]: r["state"] for r in got.collect()}
+
+
+def test_a_long_chain_of_overlaps_settles_in_logarithmic_rounds(spark, monkeypatch):
+    # Each part shares its bytes with the one before and its place with the one after.
+    n = 10_000
+    parts = [(i, f"h{(i + 1) // 2}", i // 2, "") for i in range(n)]
+    rounds = []
+    written = D.connected.materialise
+    monkeypatch.setattr(
+        D.connected, "materialise", lambda f: (rounds.append(1), written(f))[1]
+    )
+    assert decided(spark, parts) == greedy(parts)
+    assert 3 < len(rounds) <= 20
+
+
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_chains_and_components_over_the_limit(spark, monkeypatch, limit):
+    monkeypatch.setattr(D, "DIRECT_ROUNDS", 1)
+    monkeypatch.setattr(D, "FOLD_LIMIT", limit)
+    rng = random.Random(8)
+    places = list(range(60))
+    parts = [(i, f"h{(i + 1) // 2}", i // 2, "") for i in range(9)]
+    parts += [(100 + i, f"g{rng.randint(1, 25)}", 100 + rng.choice(places), rng.choice(["", "", "bad"]))
+              for i in range(70)]
+    if limit == 3:
+        with pytest.warns(UserWarning, match="groups of overlapping parts, the largest of"):
+            assert decided(spark, parts) == greedy(parts)
+    else:
+        assert decided(spark, parts) == greedy(parts)
+
+
+def test_many_copies_need_no_component(spark, monkeypatch):
+    monkeypatch.setattr(D, "_overlapping", None)
+    parts = [(i, "same", i, "") for i in range(50)] + [(100 + i, f"h{i}", 200, "") for i in range(50)]
+    assert decided(spark, parts) == greedy(parts)
+
+
+def test_parts_without_bytes_or_a_place_block_nobody(spark):
+    rows = [
+        (f"f{a}", h, "p", "x", MONDAY, 1, s, a, "")
+        for a, h, s in [(1, None, 1), (2, None, 2), (3, "a", None), (4, "b", None), (5, None, None), (6, "a", 9)]
+    ]
+    got = D.classify_arrivals(
+        spark.createDataFrame(rows, ARRIVING), spark.createDataFrame([], REGISTER)
+    ).collect()
+    assert {r["arrival"] for r in got if r["state"] == "STAGED"} == {1, 2, 3, 4, 5}
+
+
+@pytest.mark.parametrize("edges", [
+    [], [(1, 1)], [(i, i + 1) for i in range(300)], [(0, i) for i in range(1, 90)],
+    [(i, i * 7 % 201) for i in range(201)], [(5, 3), (3, 5), (9, 8), (8, 2), (70, 71)],
+])
+def test_components_are_the_reachable_ones(spark, edges):
+    root = {n: n for e in edges for n in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r["node"]: r["component"] for r in D.connected.components(frame).collect()}
+    assert got == {n: find(n) for n in root}
+
+
 def test_a_pointer_does_not_depend_on_the_order_of_requests(spark):
     asked = [("n", f"f{k}", MONDAY, v, None) for k in range(3) for v in (1, 2, 3)]
     schema = ("partner string, feed string, posting_date date, sequence_number bigint, "

@@ -8,9 +8,11 @@ written. No side is hinted as small: Spark broadcasts a side when its measured s
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from datetime import date, datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from tieout import fixed_values as V
 from tieout.durable import materialise
 from tieout.functions import business_day_end, is_safe_identifier, strict_bigint, strict_date
 from tieout.model import DELIVERY, VERSION, FeedContract
+from tieout.operators import connected
 from tieout.operators import pointer as P
 
 SLOT = (*VERSION, "part_number")
@@ -130,30 +133,16 @@ def classify_arrivals(parts: DataFrame, register: DataFrame) -> DataFrame:
     `parts` carry `arrival` (unique, ascending) and `problems` (empty when the part is whole). A
     part is a duplicate if an earlier accepted part has its bytes or its place in a version; a
     rejected part blocks nobody. Acceptance can chain (a duplicate by bytes frees its place for
-    a later part), so it is decided in rounds: a part that comes first both among its bytes and
-    in its place is accepted, and parts it blocks leave. One round settles everything unless
-    bytes and places overlap.
+    a later part): see `_accepted`.
     """
-    parts = materialise(parts)  # a row per arriving file; read in every round
+    parts = materialise(parts)  # a row per arriving file; read several times
     known = register.where(F.col("state").isin(*_RECEIVED))
     known_hashes = known.select("file_hash").distinct()
     known_slots = known.select(*SLOT).distinct()
     fresh = parts.join(known_hashes, "file_hash", "left_anti").join(
         known_slots, list(SLOT), "left_anti"
     )
-    thin = ("arrival", "file_hash", *SLOT)
-    undecided = materialise(fresh.where(F.col("problems") == "").select(*thin))
-    accepted = undecided.limit(0)
-    while not undecided.isEmpty():
-        first_of_bytes = undecided.groupBy("file_hash").agg(F.min("arrival").alias("arrival"))
-        first_of_slot = undecided.groupBy(*SLOT).agg(F.min("arrival").alias("arrival"))
-        won = first_of_bytes.join(first_of_slot, "arrival").select(*thin)
-        accepted = materialise(accepted.unionByName(won))
-        undecided = materialise(
-            undecided.join(accepted.select("file_hash"), "file_hash", "left_anti").join(
-                accepted.select(*SLOT), list(SLOT), "left_anti"
-            )
-        )
+    accepted = _accepted(fresh.where(F.col("problems") == "").select(*_THIN))
 
     by_bytes = accepted.select("file_hash", F.col("arrival").alias("bytes_at"))
     by_slot = accepted.select(*SLOT, F.col("arrival").alias("slot_at"))
@@ -175,6 +164,99 @@ def classify_arrivals(parts: DataFrame, register: DataFrame) -> DataFrame:
     return new.unionByName(old)
 
 
+_THIN = ("arrival", "file_hash", *SLOT)
+#: Rounds that settle what overlaps a little, before components are worked out.
+DIRECT_ROUNDS = 2
+#: Parts of a component that one task takes in order, some 200 bytes each.
+FOLD_LIMIT = 1_000_000
+
+
+def _accepted(candidates: DataFrame) -> DataFrame:
+    """Of parts that share bytes or places, those that are accepted when taken by `arrival`.
+
+    A part that comes first among its bytes and in its place is accepted, and what it blocks
+    leaves: two such rounds settle everything but chains of overlaps, whatever the number of
+    copies. Parts left over that share bytes or places, also through others, form components,
+    which do not touch each other; each is taken in order by one task. A component beyond
+    `FOLD_LIMIT` parts is reported as a warning and goes on in rounds, as many as it needs.
+    """
+    # Bytes or a place that are not known are shared with nobody.
+    own = F.concat(F.lit("\0"), F.col("arrival").cast("string"))
+    no_place = F.greatest(*(F.col(c).isNull() for c in SLOT))
+    undecided = materialise(
+        candidates.withColumns(
+            {
+                "file_hash": F.coalesce("file_hash", own),
+                "partner": F.when(no_place, own).otherwise(F.col("partner")),
+            }
+        )
+    )
+    accepted = undecided.limit(0)
+    for _ in range(DIRECT_ROUNDS):
+        accepted, undecided = _round(accepted, undecided)
+    if undecided.isEmpty():
+        return accepted
+    grouped = materialise(_overlapping(undecided))
+    sizes = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("parts"))
+    giants = sizes.where(F.col("parts") > FOLD_LIMIT)
+    rest = grouped.join(giants, "component", "left_semi").select(*_THIN)
+    folded = grouped.join(giants, "component", "left_anti")
+    taken = folded.groupBy("component").applyInPandas(_in_order, "arrival bigint")
+    accepted = materialise(
+        accepted.unionByName(undecided.join(taken, "arrival", "left_semi").select(*_THIN))
+    )
+    largest = giants.agg(F.count(F.lit(1)), F.max("parts")).first()
+    if largest[0]:
+        warnings.warn(
+            f"{largest[0]} groups of overlapping parts, the largest of {largest[1]}, are over "
+            f"{FOLD_LIMIT} and are settled in rounds", stacklevel=2,
+        )
+        undecided = materialise(rest)
+        while not undecided.isEmpty():
+            accepted, undecided = _round(accepted, undecided)
+    return accepted
+
+
+def _round(accepted: DataFrame, undecided: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accept the parts that nothing earlier overlaps, and let go what they block."""
+    first_of_bytes = undecided.groupBy("file_hash").agg(F.min("arrival").alias("arrival"))
+    first_of_slot = undecided.groupBy(*SLOT).agg(F.min("arrival").alias("arrival"))
+    won = materialise(
+        undecided.join(first_of_bytes.select("arrival"), "arrival", "left_semi")
+        .join(first_of_slot.select("arrival"), "arrival", "left_semi")
+        .select(*_THIN)
+    )
+    left = undecided.join(won.select("file_hash"), "file_hash", "left_anti").join(
+        won.select(*SLOT), list(SLOT), "left_anti"
+    )
+    return accepted.unionByName(won), materialise(left.select(*_THIN))
+
+
+def _overlapping(undecided: DataFrame) -> DataFrame:
+    """The parts with their component: each is tied to the first of its bytes and of its place."""
+    ties = [
+        undecided.join(
+            undecided.groupBy(*shared).agg(F.min("arrival").alias("b")), list(shared)
+        ).select(F.col("arrival").alias("a"), "b")
+        for shared in (("file_hash",), SLOT)
+    ]
+    found = connected.components(ties[0].union(ties[1]))
+    return undecided.join(found.withColumnRenamed("node", "arrival"), "arrival")
+
+
+def _in_order(component: pd.DataFrame) -> pd.DataFrame:
+    """Arrivals of one component that are accepted, one by one."""
+    rows = component.sort_values("arrival")
+    seen_bytes, seen_places, taken = set(), set(), []
+    places = zip(*(rows[c] for c in SLOT), strict=True)
+    for arrival, own, place in zip(rows["arrival"], rows["file_hash"], places, strict=True):
+        if own not in seen_bytes and place not in seen_places:
+            taken.append(arrival)
+            seen_bytes.add(own)
+            seen_places.add(place)
+    return pd.DataFrame({"arrival": taken}, dtype="int64")
+
+
 def split_duplicates(parts: DataFrame, register: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(parts to take, duplicates) among arriving parts, looking only at identity."""
     whole = parts if "problems" in parts.columns else parts.withColumn("problems", F.lit(""))
