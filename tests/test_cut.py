@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import UTC, date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tieout.durable import materialise
@@ -183,7 +184,7 @@ def test_tables_advance_together_and_past_cuts_stay_readable(spark):
     lake = Lake(spark)
 
     def at(table, position):
-        rows = C.read_at(lake.rows[table], lake.manifest, lake.cuts, table, "db", position)
+        rows = C.read_at(lake.rows[table], lake.manifest, lake.cuts, table, "db", position, NOW)
         return cdc.live_rows(rows).count()
 
     assert lake.advance(e, loans, [("E1", 11, "t1")]) is None
@@ -214,5 +215,19 @@ def test_a_run_that_died_before_its_cut_was_recorded_is_run_again(spark):
 def test_a_cut_expires_after_a_week(spark):
     rows = [("db", i, f"t{i}", T0, "loan", i, NOW - timedelta(days=d, minutes=1))
             for i, d in enumerate((6, 7))]
-    kept = C.unexpired(spark.createDataFrame(rows, CUTS), NOW).collect()
-    assert [r["position"] for r in kept] == [0]
+    cuts = spark.createDataFrame(rows, CUTS)
+    assert [r["position"] for r in C.unexpired(cuts, NOW).collect()] == [0]
+    stored = spark.createDataFrame(
+        [("a", "1", 0), ("b", "1", 1)], "id string, slice string, release_id bigint"
+    )
+    manifest = spark.createDataFrame(
+        [("loan", "1", 0, T0, NOW), ("loan", "1", 1, NOW, None)], MANIFEST
+    )
+
+    def read(position, table="loan"):
+        return C.read_at(stored, manifest, cuts, table, "db", position, NOW).collect()
+
+    assert [r["id"] for r in read(0)] == ["a"]
+    for position, table in ((1, "loan"), (7, "loan"), (0, "ledger")):
+        with pytest.raises(Exception, match=f"no cut of db is kept for {table} at {position}"):
+            read(position, table)

@@ -161,7 +161,7 @@ def test_the_same_part_twice_is_taken_once(feed):
 
 def test_a_wrong_trailer_loads_nothing_and_can_be_resent(feed):
     assert set(feed.receive(feed.part([100], trailer=(1, 999))).values()) == {"REJECTED"}
-    assert feed.register.first()["reason"] == "100 paise, trailer says 999"
+    assert feed.register.first()["reason"] == "amount_paise is 100 instead of 999"
     assert set(feed.receive(feed.part([100, 300])).values()) == {"STAGED"}
     row = feed.register.first()
     assert (row["state"], row["row_count"], row["amount_paise"]) == ("STAGED", 2, 400)
@@ -185,8 +185,9 @@ def test_every_problem_of_a_part_is_listed(spark):
     rows = [("f", "a", 1, MONDAY), ("f", "a", None, MONDAY), ("f", None, 5, date(2026, 3, 3)),
             ("f", "b", 2, None)]
     assert check(spark, rows, 3, 9) == (
-        "4 rows, trailer says 3; 8 paise, trailer says 9; duplicate or null keys; "
-        "1 rows without an amount; 2 rows for another posting date"
+        "row_count is 4 instead of 3; amount_paise is 8 instead of 9; "
+        "distinct settlement_id is 2 instead of 4; rows without amount_paise is 1 instead of 0; "
+        "rows of another posting_date is 2 instead of 0"
     )
     assert check(spark, [("f", "a", -5, MONDAY)], 1, -5) == ""
     assert check(spark, [("other", "a", 1, MONDAY)], 0, 0) == ""

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -181,14 +181,31 @@ def read_at(spark, sf):
         "position",
         F.lit(S.TABLE).alias("table_name"),
         F.lit(1).cast("bigint").alias("release_id"),
+        F.lit(S.SECOND_PUBLISH).alias("cut_at"),
     )
     position = cut.first()["position"]
     rows = C.read_at(
-        S.released_rows(spark, sf), S.manifest(spark, sf), cuts, S.TABLE, "sales", position
+        S.released_rows(spark, sf), S.manifest(spark, sf), cuts, S.TABLE, "sales", position,
+        S.SECOND_PUBLISH + timedelta(days=6),
     )
     return rows.select("txn_id", "amount_paise")
 
 
+@query(
+    "cut_kept_for_reading",
+    """SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS cut_day, count(*) AS cuts FROM orders
+WHERE o_orderdate + INTERVAL 7 DAY > TIMESTAMP '1998-01-01 12:00:00' GROUP BY ALL""",
+)
+def kept_for_reading(spark, sf):
+    """Every order as a cut taken when it was placed; those kept at noon of New Year's Day."""
+    cuts = given(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("position"), F.col("o_orderdate").cast("timestamp").alias("cut_at")
+    )
+    kept = C.unexpired(cuts, datetime(1998, 1, 1, 12, tzinfo=UTC))
+    day = F.col("cut_at").cast("date").cast("string").alias("cut_day")
+    return kept.groupBy(day).agg(F.count(F.lit(1)).alias("cuts"))
+
+
 def _source_dates(spark, sf):
     dates = given(spark, sf, "orders").select(
         F.col("o_orderdate").cast("date").alias("business_date")

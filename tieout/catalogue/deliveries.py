@@ -130,10 +130,12 @@ totals AS (
   FROM line_files GROUP BY ALL)
 SELECT file_id, sent_for AS posting_date,
        concat_ws('; ',
-         CASE WHEN n <> claimed THEN n || ' rows, trailer says ' || claimed END,
-         CASE WHEN keys <> n THEN 'duplicate or null keys' END,
-         CASE WHEN no_amount > 0 THEN no_amount || ' rows without an amount' END,
-         CASE WHEN elsewhere > 0 THEN elsewhere || ' rows for another posting date' END
+         CASE WHEN n <> claimed THEN 'row_count is ' || n || ' instead of ' || claimed END,
+         CASE WHEN keys <> n THEN 'distinct settlement_id is ' || keys || ' instead of ' || n END,
+         CASE WHEN no_amount > 0
+              THEN 'rows without amount_paise is ' || no_amount || ' instead of 0' END,
+         CASE WHEN elsewhere > 0
+              THEN 'rows of another posting_date is ' || elsewhere || ' instead of 0' END
        ) AS problems
 FROM totals""",
 )
@@ -203,7 +205,7 @@ def split_duplicates(spark, sf):
 problems AS (
   SELECT file_id, CASE WHEN sum(amount_paise) FILTER (amount_paise >= 1000000)
                          IS DISTINCT FROM sum(amount_paise)
-    THEN CAST(sum(amount_paise) AS BIGINT) || ' paise, trailer says '
+    THEN 'amount_paise is ' || CAST(sum(amount_paise) AS BIGINT) || ' instead of '
       || coalesce(CAST(sum(amount_paise) FILTER (amount_paise >= 1000000) AS BIGINT), 0)
     ELSE '' END AS problems
   FROM file_rows GROUP BY file_id)

@@ -4,6 +4,7 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from tieout import fixed_values as V
 from tieout.catalogue.cut import UP_TO_CUT, found_cut
 from tieout.catalogue.deliveries import (
     FIRST,
@@ -99,6 +100,33 @@ def breaks(spark, sf):
     return _breaks(spark, sf)
 
 
+@query(
+    "gate_breaks_of_status",
+    ctes(FACT)
+    + """SELECT DISTINCT business_line, business_date, 'fingerprint' AS differs FROM fact
+WHERE status = 'PARTIALLY_SETTLED' AND business_line <> '1-URGENT'
+   OR status = 'INITIATED' AND business_line = '1-URGENT' AND amount_paise < 2000000""",
+)
+def breaks_of_status(spark, sf):
+    """Some statuses lost, some changed: rows, amounts and keys still tie."""
+    fact = S.fact(spark, sf)
+    part = (F.col("status") == "PARTIALLY_SETTLED") & (F.col("business_line") != "1-URGENT")
+    small = (F.col("status") == "INITIATED") & (F.col("amount_paise") < 2_000_000)
+    urgent = small & (F.col("business_line") == "1-URGENT")
+    wrong = F.when(urgent, "SETTLED").when(~part, F.col("status"))
+    extra = ("customer_id", "status")
+    sides = [
+        gate.cell_totals(side, S.FACT_KEYS, extra=extra)
+        for side in (fact.withColumn("status", wrong), fact)
+    ]
+    measures = [
+        F.when(~F.col(f"c_{m}").eqNullSafe(F.col(f"r_{m}")), F.lit(m)) for m in V.MEASURES
+    ]
+    return gate.breaks(*sides).select(
+        "business_line", "business_date", F.concat_ws(",", *measures).alias("differs")
+    )
+
+
 @query(
     "gate_classify",
     BROKEN

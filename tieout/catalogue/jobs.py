@@ -5,6 +5,7 @@ They write under the session's checkpoint folder and return what a reader sees a
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -134,20 +135,53 @@ def deliver_files(spark, sf):
 
     Whatever is far smaller than the weeks before it is held, so its rows do not show.
     """
+    stored, done = _delivered(spark, sf, S.FEED, NOW)
+    loaded = file_delivery.loaded_rows(stored, done.register)
+    return D.current_rows(loaded, done.pointer).select("file_id", "settlement_id", "amount_paise")
+
+
+@query(
+    "job_closed_windows",
+    ctes(ROWS, PARTS, VERSIONS, IN_TURN).replace("WITH ", "WITH RECURSIVE ", 1)
+    + """, published AS (
+  SELECT partner, feed, w.done[-1].d AS posting_date, w.done[-1].s AS sequence_number
+  FROM walk w WHERE len(w.done) > 0 AND w.done[-1].s IS NOT NULL),
+feeds AS (SELECT partner, feed, min(posting_date) AS a FROM parts GROUP BY ALL),
+expected AS (
+  SELECT partner, feed, CAST(unnest(generate_series(a, DATE '2001-08-05', INTERVAL 1 DAY)) AS DATE)
+         AS posting_date FROM feeds)
+SELECT partner, feed, posting_date, 'incomplete input' AS report
+FROM expected ANTI JOIN published USING (partner, feed, posting_date)
+WHERE posting_date + INTERVAL 1 DAY - INTERVAL 330 MINUTE + INTERVAL 8 HOUR
+      <= TIMESTAMP '2001-08-05 03:00:00'
+UNION ALL
+SELECT partner, feed, posting_date,
+       'reference ' || partner || '.' || feed || ' is at version ' || sequence_number
+FROM published""",
+)
+def closed_windows(spark, sf):
+    """What a publish reports: windows that closed without a version, and reference feeds moved."""
+    now = datetime(2001, 8, 5, 3, tzinfo=UTC)
+    _, done = _delivered(spark, sf, replace(S.FEED, reference=True), now)
+    missing = done.missing.select(*D.DELIVERY, F.col("effect").alias("report"))
+    return missing.unionByName(done.announced.select(*D.DELIVERY, F.col("message").alias("report")))
+
+
+def _delivered(spark, sf, contract, now):
+    """The rows that were loaded, and the publish of every version they make up."""
     rows = S.file_rows(spark, sf).select(
         "file_id", "settlement_id", "amount_paise", "posting_date"
     )
     parts = S.file_parts(spark, sf).withColumn("arrival", F.col("file_id"))
     register, stored = _none(spark, REGISTER), None
     for _ in range(2):
-        got = file_delivery.receive(register, S.FEED, parts, rows, NOW)
+        got = file_delivery.receive(register, contract, parts, rows, NOW)
         load = _written_to(spark, got.rows, "load")
         stored = load if stored is None else stored.unionByName(load)
         register = _written_to(spark, got.register, "register")
     asked = S.requests(register)
-    done = file_delivery.publish(register, _none(spark, POINTER), S.FEED, asked, NOW)
-    loaded = file_delivery.loaded_rows(stored, done.register)
-    return D.current_rows(loaded, done.pointer).select("file_id", "settlement_id", "amount_paise")
+    done = file_delivery.publish(register, _none(spark, POINTER), contract, asked, now)
+    return stored, done
 
 
 @query(

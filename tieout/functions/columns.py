@@ -26,9 +26,14 @@ def newer(left: Column, right: Column) -> Column:
     return left > right
 
 
-def row_fingerprint(keys: Sequence[str], amount: str) -> Column:
-    """First 32 bits of md5 over 'key|…|amount', the text every source hashes on its side."""
-    text = F.concat_ws("|", *(F.col(c).cast("string") for c in (*keys, amount)))
+def row_fingerprint(keys: Sequence[str], amount: str, extra: Sequence[str] = ()) -> Column:
+    """First 32 bits of md5 over 'key|…|amount', the text every source hashes on its side.
+
+    `extra` columns follow the amount where both sides have agreed on them; NULL is written
+    there as \\N, so that it differs from an empty text and from a column left out.
+    """
+    more = (F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in extra)
+    text = F.concat_ws("|", *(F.col(c).cast("string") for c in (*keys, amount)), *more)
     return F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("bigint")
 
 

@@ -148,24 +148,37 @@ def tag_name(source: Column | str, position: Column | str) -> Column:
 
 
 def release_at(cuts: DataFrame, table: str, source: str, position: int | Column) -> Column:
-    """The release of a table that a cut names, as a scalar."""
+    """The release of a table that a cut names, as a scalar; a cut that is not there is refused."""
     at = position if isinstance(position, Column) else F.lit(position)
     named = cuts.where(
         (F.col("table_name") == table) & (F.col("source") == source) & (F.col("position") == at)
     )
-    return named.agg(F.max("release_id")).scalar()
+    where = F.concat(F.lit(f"no cut of {source} is kept for {table} at "), at.cast("string"))
+    refused = F.raise_error(where).cast("bigint")
+    return named.agg(F.coalesce(F.max("release_id"), refused)).scalar()
 
 
 def read_at(
-    rows: DataFrame, manifest: DataFrame, cuts: DataFrame, table: str, source: str, position: int
+    rows: DataFrame,
+    manifest: DataFrame,
+    cuts: DataFrame,
+    table: str,
+    source: str,
+    position: int,
+    now: datetime,
 ) -> DataFrame:
-    """The rows of the release that the cut recorded for this table; later merges do not show."""
-    return release.read(rows, manifest, table, release_at(cuts, table, source, position))
+    """The rows of the release that the cut recorded for this table; later merges do not show.
+
+    A cut that was never recorded, or is no longer kept at `now`, is refused when the rows are
+    read: its release may have been swept away, so an empty answer would be a wrong one.
+    """
+    named = release_at(unexpired(cuts, now), table, source, position)
+    return release.read(rows, manifest, table, named)
 
 
-def unexpired(cuts: DataFrame, now: datetime) -> DataFrame:
+def unexpired(cuts: DataFrame, now: datetime, days: int = V.CUT_RETENTION_DAYS) -> DataFrame:
     """Cuts that are still kept for reading."""
-    kept = F.col("cut_at") + F.make_dt_interval(F.lit(V.CUT_RETENTION_DAYS))
+    kept = F.col("cut_at") + F.make_dt_interval(F.lit(days))
     return cuts.where(kept > F.lit(now))
 
 

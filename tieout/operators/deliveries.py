@@ -58,37 +58,34 @@ def check_parts(rows: DataFrame, parts: DataFrame, contract: FeedContract) -> Da
     keys = rows.groupBy("file_id").agg(
         F.count_distinct(*(F.col(k) for k in contract.keys)).alias("distinct_keys")
     )
-    counts = ("found_rows", "null_amounts", "other_dates", "distinct_keys")
+    counts = ("found_rows", "null_amounts", "other_dates", "distinct_keys", "found_paise")
     checked = parts.join(totals, ["file_id", "posting_date"], "left").join(
         keys, "file_id", "left"
     )
     checked = checked.withColumns(
         {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in counts}
     )
-    paise = F.coalesce(F.col("found_paise").cast("string"), F.lit("None"))
-    problems = [
-        (
-            F.col("found_rows") != F.col("row_count"),
-            F.format_string("%d rows, trailer says %d", "found_rows", "row_count"),
-        ),
-        (
-            F.coalesce("found_paise", F.lit(0)) != F.col("amount_paise"),
-            F.format_string("%s paise, trailer says %d", paise, "amount_paise"),
-        ),
-        (F.col("distinct_keys") != F.col("found_rows"), F.lit("duplicate or null keys")),
-        (
-            F.col("null_amounts") > 0,
-            F.format_string("%d rows without an amount", "null_amounts"),
-        ),
-        (
-            F.col("other_dates") > 0,
-            F.format_string("%d rows for another posting date", "other_dates"),
-        ),
-    ]
-    listed = F.array_compact(F.array(*(F.when(bad, text) for bad, text in problems)))
+    key, none = "+".join(contract.keys), F.lit(0).cast("bigint")
+    # What the rows have, and what they should have.
+    measured = {
+        "row_count": ("found_rows", F.col("row_count")),
+        contract.amount: ("found_paise", F.col("amount_paise")),
+        f"distinct {key}": ("distinct_keys", F.col("found_rows")),
+        f"rows without {contract.amount}": ("null_amounts", none),
+        "rows of another posting_date": ("other_dates", none),
+    }
+    listed = F.array_compact(
+        F.array(*(_departure(what, F.col(found), due) for what, (found, due) in measured.items()))
+    )
     return checked.select(*parts.columns, F.array_join(listed, "; ").alias("problems"))
 
 
+def _departure(what: str, found: Column, due: Column) -> Column:
+    """Text on a measure that is not what it should be, else NULL; no value counts as zero."""
+    found = F.coalesce(found, F.lit(0).cast("bigint"))
+    return F.when(~found.eqNullSafe(due), F.format_string(f"{what} is %s instead of %s", found, due))
+
+
 def refuse(parts: DataFrame, register: DataFrame, identifiers: Sequence[str]) -> DataFrame:
     """Checked parts with two more problems: an unsafe identifier, and a file id already taken.
 

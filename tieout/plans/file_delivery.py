@@ -30,6 +30,8 @@ class Published:
     verdicts: DataFrame
     register: DataFrame
     pointer: DataFrame
+    missing: DataFrame  # deliveries whose arrival window has closed without a version
+    announced: DataFrame  # reference feeds whose current version moved, never ahead of the flip
 
 
 def receive(
@@ -88,7 +90,10 @@ def publish(
     """A verdict per requested version, with the pointer and the register moved accordingly.
 
     A backlog builds its own history: what an earlier date publishes counts as usual for the same
-    weekday of the weeks after it, in this same call.
+    weekday of the weeks after it, in this same call. Each feed is looked after from the first
+    posting date that was ever registered or requested: dates since then whose arrival window has
+    closed at `now` and that have no version are `missing`, as a declared gap if the contract
+    calls the feed optional.
     """
     asked = requests.select(*DELIVERY, "sequence_number", "approved_by")
     usual = D.usual_rows_in_turn(asked, register, pointer, contract.truncation_threshold)
@@ -96,4 +101,24 @@ def publish(
         D.publish_verdicts(asked, register, pointer, contract.truncation_threshold, usual)
     )
     flipped = D.flip(pointer, verdicts.where(F.col("verdict") == V.PUBLISHED), now)
-    return Published(verdicts, D.settle_register(register, verdicts, flipped), flipped)
+    feeds = feeds_since(register.select(*DELIVERY).unionByName(asked.select(*DELIVERY)), contract)
+    to_now = feeds.withColumn("last_date", F.greatest("first_date", F.lit(now).cast("date")))
+    return Published(
+        verdicts,
+        D.settle_register(register, verdicts, flipped),
+        flipped,
+        D.missing(to_now, flipped, now),
+        D.announcements(pointer, flipped, feeds),
+    )
+
+
+def feeds_since(deliveries: DataFrame, contract: FeedContract) -> DataFrame:
+    """The feeds of these deliveries, since when they exist, and what their contract says."""
+    return (
+        deliveries.where(F.col("posting_date").isNotNull())
+        .groupBy("partner", "feed")
+        .agg(F.min("posting_date").alias("first_date"))
+        .withColumns(
+            {"optional": F.lit(contract.optional), "reference": F.lit(contract.reference)}
+        )
+    )
