@@ -97,6 +97,113 @@ def test_a_value_without_a_token_fails_the_read(spark):
         privacy.with_tokens(rows, "mail", vault).collect()
 
 
+ENVELOPE = (
+    "key struct<phone: string>, "
+    "before struct<id: int, phone: string, home: struct<mail: string, city: string>>, "
+    "after struct<id: int, phone: string, home: struct<mail: string, city: string>>, op string"
+)
+CLASSES = {"phone": "phone", "home.mail": "email", "home.city": None, "op": None}
+
+
+def test_both_images_and_the_key_get_the_same_tokens(spark):
+    rows = [
+        (("98765 43210",), (1, "09876543210", ("A@x", "P")), (1, "+91 9876543210", ("a@x ", "Q")), "u"),
+        (("98765 43210",), None, (2, None, ("b@x", "P")), "c"),
+        (None, (3, "12 34", None), None, "d"),
+        ((None,), (4, "98765-43210", (None, None)), None, "d"),
+    ]
+    frame = spark.createDataFrame(rows * 40, ENVELOPE).repartition(5)
+    vault = spark.createDataFrame([("email", "b@x", "tok-b")], "kind string, value string, token string")
+    found, new = privacy.tokenise_envelopes(frame, CLASSES, vault)
+    assert found.schema.simpleString() == frame.schema.simpleString()
+    got = found.collect()
+    assert len(got) == 160 and new.count() == 3
+    tokens = {(r["kind"], r["value"]): r["token"] for r in new.collect()}
+    phone, mail = tokens[("phone", "+919876543210")], tokens[("email", "a@x")]
+    seen = {
+        (r.key and r.key.phone, r.before and r.before.phone, r.after and r.after.phone) for r in got
+    }
+    assert seen == {
+        (phone, phone, phone), (phone, None, None), (None, tokens[("phone", "12 34")], None),
+        (None, phone, None),
+    }
+    assert {r.after.home.mail for r in got if r.after} == {mail, "tok-b"}
+    assert {r.before.home and r.before.home.mail for r in got if r.before} == {mail, None}
+    assert {r.after.home.city for r in got if r.after} == {"P", "Q"}
+    flat = found.select(F.to_json(F.struct("*")).alias("text"))
+    hits = privacy.canary_hits({"t": flat}, ["9876543210", "43210", "@x", "12 34"]).collect()
+    assert [h["hits"] for h in hits] == [0]
+
+
+def test_text_that_is_not_classified_is_refused(spark):
+    frame = spark.createDataFrame([], ENVELOPE)
+    vault = spark.createDataFrame([], "kind string, value string, token string")
+    with pytest.raises(ValueError, match="without a classification: home.city, op"):
+        privacy.tokenise_envelopes(frame, {"phone": "phone", "home.mail": "email"}, vault)
+    listed = spark.createDataFrame([], "after struct<tags: array<string>>")
+    with pytest.raises(ValueError, match="text inside after.tags"):
+        privacy.tokenise_envelopes(listed, {"tags": "email"}, vault)
+    found, new = privacy.tokenise_envelopes(frame, dict.fromkeys(CLASSES), vault)
+    assert found.collect() == [] and new.collect() == []
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_a_hot_entity_of_one_hour_spreads_over_ranges(spark, strict):
+    rng = random.Random(9)
+
+    def at():
+        return T0 + timedelta(minutes=rng.randint(0, 5))
+
+    seen = [(rng.choice("aaaaab"), at(), i) for i in range(150)]
+    asked = [(i, rng.choice("aaaaabc"), at()) for i in range(150)]
+    observations = spark.createDataFrame(seen, "entity string, at timestamp, value int")
+    moments = spark.createDataFrame(asked, "id int, entity string, at timestamp")
+    got = features.as_of(
+        moments, observations, "entity", "at", ("value",), 8, strict
+    ).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        before = [
+            (t, v) for e, t, v in seen
+            if e == r["entity"] and (t < r["at"] if strict else t <= r["at"])
+        ]
+        assert (r["observed_at"], r["value"]) == (max(before) if before else (None, None))
+    shared = observations.select("entity", "at", F.struct("at", "value").alias("_last"))
+    parts = features._in_ranges(
+        shared, moments.withColumn("_moment", F.struct("*")), "entity", "at", "_last", 8, strict
+    )
+    sizes = parts[0].select("_block").union(parts[1].select("_block")).groupBy("_block").count()
+    found = [r["count"] for r in sizes.collect()]
+    assert len(found) >= 6 and max(found) < 100
+
+
+def test_checks_of_any_number_read_the_rows_once(spark, tmp_path):
+    contract = DataContract(
+        "x",
+        (
+            ColumnRule("id", "bigint", True, True), ColumnRule("line", "bigint", False, True),
+            ColumnRule("status", "string", True, unique=True, allowed=("A", "B")),
+            ColumnRule("ref", "string", unique=True), ColumnRule("gone", "bigint"),
+            ColumnRule("amount", "bigint", True),
+        ),
+    )
+    rows = [(1, 1, "A", "r", 5), (1, 1, "B", "r", 5), (1, None, "C", None, 6), (None, 2, None, "s", 7)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(
+        rows * 2, "id bigint, line bigint, status string, ref string, amount int"
+    ).write.parquet(path)
+    found = quality.evaluate(spark.read.parquet(path), contract)
+    assert {r["check"]: r["failures"] for r in found.collect()} == {
+        "required:id": 2, "required:status": 2, "invalidValues:status": 2, "required:amount": 0,
+        "primaryKey": 7, "duplicateValues:status": 5, "duplicateValues:ref": 6, "missing:gone": 8,
+        "type:amount": 8,
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    empty = quality.evaluate(spark.read.parquet(path).limit(0), contract)
+    assert {r["failures"] for r in empty.collect()} == {0}
+
+
 @pytest.mark.parametrize(
     "kind, text, expected",
     [("phone", "98765 43210", "+919876543210"), ("phone", "+91-98765-43210", "+919876543210"),

@@ -217,6 +217,73 @@ def tokenise(spark, sf):
     )
 
 
+def _customer_changes(spark, sf):
+    """Customers as changes: the key and both images carry the same phone, and some an email."""
+    c = given(spark, sf, "customer")
+    number = (F.lit(9_000_000_000) + F.col("c_custkey") % 700).cast("string")
+    mail = F.concat("c_mktsegment", (F.col("c_custkey") % 40).cast("string"), F.lit("@Example.com"))
+    row = [F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")]
+    before = F.struct(
+        *row, F.concat(F.lit("0"), number).alias("phone"),
+        F.struct(mail.alias("email")).alias("contact"),
+    )
+    after = F.struct(
+        *row, F.concat(F.lit("+91 "), number).alias("phone"),
+        F.struct(F.when(F.col("c_acctbal") > 0, F.lower(mail)).alias("email")).alias("contact"),
+    )
+    return c.select(
+        "c_nationkey",
+        F.struct(number.alias("phone")).alias("key"),
+        F.when(F.col("c_custkey") % 3 > 0, before).alias("before"),
+        F.when(F.col("c_custkey") % 5 > 0, after).alias("after"),
+        F.lit("u").alias("op"),
+    )
+
+
+CUSTOMER_FIELDS = {"segment": None, "phone": "phone", "contact.email": "email", "op": None}
+
+
+@query(
+    "privacy_tokenise_envelopes",
+    """WITH c AS (
+  SELECT c_nationkey, c_custkey % 700 AS phone, c_mktsegment || (c_custkey % 40) AS mail,
+         c_custkey % 3 > 0 AS b, c_custkey % 5 > 0 AS a, c_acctbal > 0 AS known FROM customer)
+SELECT c_nationkey, count(*) AS changes, count(DISTINCT phone) AS phones,
+       count(DISTINCT phone) FILTER (a) AS phones_after,
+       count(DISTINCT mail) FILTER (b OR (a AND known)) AS emails,
+       count(*) FILTER (a AND b) AS same_phone, 0::BIGINT AS clear_values
+FROM c GROUP BY ALL""",
+)
+def tokenise_envelopes(spark, sf):
+    """One token per value over the key and both images, and no clear value left in any column."""
+    changes = _customer_changes(spark, sf)
+    vault = changes.where("c_nationkey < 5").select(
+        F.lit("phone").alias("kind"),
+        F.concat(F.lit("+91"), "key.phone").alias("value"),
+    ).distinct().withColumn("token", F.concat(F.lit("known-"), F.md5("value")))
+    rows, _ = privacy.tokenise_envelopes(changes, CUSTOMER_FIELDS, vault)
+    text = F.to_json(F.struct("key", "before", "after"))
+    clear = text.rlike(r"9000000\d{3}|@[Ee]xample")
+    mails = F.array_compact(F.array("before.contact.email", "after.contact.email"))
+    per_mail = rows.select("c_nationkey", F.explode(mails).alias("mail")).groupBy("c_nationkey").agg(
+        F.count_distinct("mail").alias("emails")
+    )
+    same = (F.col("before.phone") == F.col("after.phone")) & (
+        F.col("key.phone") == F.col("after.phone")
+    )
+    counts = rows.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("changes"),
+        F.count_distinct("key.phone").alias("phones"),
+        F.count_distinct("after.phone").alias("phones_after"),
+        F.count_if(same).alias("same_phone"),
+        F.count_if(clear).alias("clear_values"),
+    )
+    return counts.join(per_mail, "c_nationkey", "left").select(
+        "c_nationkey", "changes", "phones", "phones_after",
+        F.coalesce("emails", F.lit(0).cast("bigint")).alias("emails"), "same_phone", "clear_values",
+    )
+
+
 @query(
     "privacy_normalise",
     """SELECT c_custkey,
@@ -556,8 +623,8 @@ def trace(spark, sf):
 # ---- features and signals
 
 
-def _of_type(kind: str) -> str:
-    return f"SELECT * FROM events WHERE event_type = '{kind}'"
+def _of_type(kind: str, source: str = "events") -> str:
+    return f"SELECT * FROM {source} WHERE event_type = '{kind}'"
 
 
 @query(
@@ -582,6 +649,36 @@ def as_of(spark, sf):
     )
 
 
+@query(
+    "features_as_of_hot_entity",
+    f"""WITH hot AS (
+  SELECT event_id, event_type, value, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+         date_trunc('hour', TIMESTAMP '2024-01-01') + to_seconds(event_id % 3000) AS ts FROM events),
+purchases AS ({_of_type("purchase", "hot")}),
+clicks AS (
+  SELECT user_id, ts, max(value) AS value FROM ({_of_type("click", "hot")}) GROUP BY ALL)
+SELECT p.event_id, CAST(round(c.value * 100) AS BIGINT) AS click_paise
+FROM purchases p ASOF LEFT JOIN clicks c ON p.user_id = c.user_id AND p.ts >= c.ts""",
+)
+def as_of_hot_entity(spark, sf):
+    """A third of all rows are one user's, all within one hour: cut into ranges, not into hours."""
+    e = _events(spark, sf)
+    hot = e.withColumns(
+        {
+            "user_id": F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")),
+            "event_ts": F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") % 3000),
+        }
+    )
+    moments = hot.where("event_type = 'purchase'").select("event_id", "user_id", "event_ts")
+    clicks = hot.where("event_type = 'click'").select(
+        "user_id", "event_ts", F.col("amount_paise").alias("click_paise")
+    )
+    found = features.as_of(
+        moments, clicks, "user_id", "event_ts", ("click_paise",), 16, strictly_before=False
+    )
+    return found.select("event_id", "click_paise")
+
+
 def watched(spark, sf):
     """Event types worth watching, from the events themselves."""
     types = given(spark, sf, "events").select("event_type").distinct()

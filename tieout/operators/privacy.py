@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -75,6 +75,94 @@ def with_tokens(rows: DataFrame, column: str, tokens: DataFrame) -> DataFrame:
     return rows.join(named, column, "left").withColumn(column, token).drop("_token")
 
 
+#: Parts of an envelope that hold a captured row, whose fields are classified once for all of them.
+IMAGES = ("key", "before", "after")
+
+
+def text_fields(schema: T.StructType, images: Sequence[str] = IMAGES) -> dict[str, str]:
+    """Path of every text in a record, nested ones too, to the name it is classified under.
+
+    In an image the name is the path within it. Text inside an array or a map has no path that a
+    token could be put back by, and is refused.
+    """
+    found: dict[str, str] = {}
+
+    def walk(struct: T.StructType, path: tuple[str, ...]) -> None:
+        for f in struct.fields:
+            at = (*path, f.name)
+            if isinstance(f.dataType, T.StructType):
+                walk(f.dataType, at)
+            elif isinstance(f.dataType, T.StringType):
+                within = at[1:] if at[0] in images and len(at) > 1 else at
+                found[".".join(at)] = ".".join(within)
+            elif "string" in f.dataType.simpleString():
+                raise ValueError(f"text inside {'.'.join(at)} cannot be tokenised")
+
+    walk(schema, ())
+    return found
+
+
+def tokenise_envelopes(
+    envelopes: DataFrame,
+    kinds: Mapping[str, str | None],
+    vault: DataFrame,
+    images: Sequence[str] = IMAGES,
+) -> tuple[DataFrame, DataFrame]:
+    """(envelopes with tokens in both images and the key, entries to add to the vault).
+
+    `kinds` classifies every text field: the kind of personal value it holds, or None for none.
+    One that is not classified is refused before anything is read. All personal values of a batch
+    stand in one long frame, which meets the vault once; tokens go back by their path, so a value
+    has one token wherever it stands. As with `tokenise`, the new entries are materialised and
+    stored before the rows, and a value without a token fails the read.
+    """
+    paths = text_fields(envelopes.schema, images)
+    unknown = sorted({name for name in paths.values() if name not in kinds})
+    if unknown:
+        raise ValueError(f"text fields without a classification: {', '.join(unknown)}")
+    personal = {path: kinds[name] for path, name in paths.items() if kinds[name] is not None}
+    if not personal:
+        return envelopes, vault.select("kind", "value", "token").limit(0)
+    # Numbered and kept, because rows are put together again by their number.
+    rows = materialise(envelopes.withColumn("_row", F.monotonically_increasing_id()))
+    values = F.array(
+        *(
+            F.struct(
+                F.lit(path).alias("path"),
+                F.lit(kind).alias("kind"),
+                normalise(kind, F.col(path)).alias("value"),
+            )
+            for path, kind in personal.items()
+        )
+    )
+    told = F.filter(values, lambda v: v["value"].isNotNull())
+    long = rows.select("_row", F.inline(told))
+    known = vault.select("kind", "value", "token")
+    new = materialise(
+        long.select("kind", "value")
+        .distinct()
+        .join(known, ["kind", "value"], "left_anti")
+        .withColumn("token", F.expr("uuid()"))
+    )
+    tokens = known.unionByName(new)
+    by_row = (
+        long.join(tokens, ["kind", "value"])
+        .groupBy("_row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("path", "token"))).alias("_tokens"))
+    )
+    out = rows.join(by_row, "_row", "left")
+    for path in personal:
+        token = F.try_element_at("_tokens", F.lit(path))
+        refused = F.raise_error(F.lit(f"no token for a value of {path}")).cast("string")
+        put = F.when(F.col(path).isNotNull(), F.coalesce(token, refused))
+        top, _, rest = path.partition(".")
+        if not rest:
+            out = out.withColumn(top, put)
+        else:
+            out = out.withColumn(top, F.when(F.col(top).isNotNull(), F.col(top).withField(rest, put)))
+    return out.select(*envelopes.columns), new
+
+
 def canary_hits(tables: dict[str, DataFrame], canaries: Sequence[str]) -> DataFrame:
     """How often a seeded clear value shows up, per table and text column. Zero is the goal."""
     found = None
