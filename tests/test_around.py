@@ -12,6 +12,7 @@ from tieout.durable import checkpoint_dir
 from tieout.model import ColumnRule, DataContract, FeedContract
 from tieout.operators import api, bronze, events, features, privacy, quality
 from tieout.sources.tables import partner_file
+from tieout.plans import window_sink
 from tieout.streaming import events as streams
 
 T0 = datetime(2026, 3, 1)
@@ -135,6 +136,36 @@ def test_both_images_and_the_key_get_the_same_tokens(spark):
     assert [h["hits"] for h in hits] == [0]
 
 
+def test_a_window_is_replaced_with_its_emptied_dates(spark, tmp_path):
+    days = [date(2026, 3, d) for d in range(1, 5)]
+    rows = spark.createDataFrame(
+        [(days[d], i) for i, d in enumerate((0, 1, 1, 2, 3))], "business_date date, id int"
+    )
+    window_sink.create(spark, "sink_test", rows, path=str(tmp_path / "sink"))
+    assert window_sink.replace_window(spark, "sink_test", rows, days) == []
+
+    def content():
+        return sorted((r["business_date"].day, r["id"]) for r in spark.table("sink_test").collect())
+
+    everything = [(1, 0), (2, 1), (2, 2), (3, 3), (4, 4)]
+    assert content() == everything
+    # A row outside the window changes nothing.
+    with pytest.raises(Exception, match="a row outside the window, of 2026-03-04"):
+        window_sink.replace_window(spark, "sink_test", rows, days[:3])
+    assert content() == everything
+    # The second day is empty now, the third has another row; others stay, also run twice.
+    again = spark.createDataFrame([(9, days[2])], "id int, business_date date")
+    for _ in range(2):
+        assert window_sink.replace_window(spark, "sink_test", again, days[1:3]) == [days[1]]
+        assert content() == [(1, 0), (3, 9), (4, 4)]
+    # Rows may come from the table itself, and a whole window may be empty.
+    own = spark.table("sink_test").where("id > 3")
+    assert window_sink.replace_window(spark, "sink_test", own.where("id = 9"), days[2:3]) == []
+    assert window_sink.replace_window(spark, "sink_test", own.limit(0), days) == days
+    assert content() == []
+    spark.sql("DROP TABLE sink_test")
+
+
 def test_text_that_is_not_classified_is_refused(spark):
     frame = spark.createDataFrame([], ENVELOPE)
     vault = spark.createDataFrame([], "kind string, value string, token string")

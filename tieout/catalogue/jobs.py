@@ -5,8 +5,9 @@ They write under the session's checkpoint folder and return what a reader sees a
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from tieout.durable import scratch
 from tieout.model import CUTS, MANIFEST, POINTER, REGISTER, RELEASES, MergeSpec
 from tieout.operators import cdc, release
 from tieout.operators import deliveries as D
-from tieout.plans import cut_advance, file_delivery, gate_publish, merge
+from tieout.plans import cut_advance, file_delivery, gate_publish, merge, window_sink
 from tieout.sources import derived as S
 from tieout.sources.stream import given_stream
 from tieout.sources.tables import given
@@ -216,6 +217,36 @@ def publish_fact(spark, sf):
     return seen
 
 
+@query(
+    "job_replace_window",
+    ctes(FACT)
+    + """SELECT CAST(date_trunc('month', business_date) AS DATE) AS business_month,
+       count(*) AS rows, CAST(sum(amount_paise) AS BIGINT) AS amount_paise
+FROM fact
+WHERE year(business_date) <> 1998 OR (month(business_date) % 3 > 0 AND status <> 'INITIATED')
+GROUP BY ALL""",
+)
+def replace_window(spark, sf):
+    """A fact stored by month, of which one year is rebuilt, twice; a third of it is emptied."""
+    month = F.col("business_month")
+    fact = S.fact(spark, sf).withColumn(
+        "business_month", F.trunc("business_date", "month")
+    )
+    table = f"fact_{uuid.uuid4().hex}"
+    window_sink.create(spark, table, fact, "business_month", scratch(spark, table))
+    months = [r[0] for r in fact.select(month).distinct().collect()]
+    window_sink.replace_window(spark, table, fact, months, "business_month")
+    window = [date(1998, m, 1) for m in range(1, 13)]
+    for _ in range(2):
+        rebuilt = spark.table(table).where(
+            month.isin(window) & (F.month(month) % 3 > 0) & (F.col("status") != "INITIATED")
+        )
+        window_sink.replace_window(spark, table, rebuilt, window, "business_month")
+    return spark.table(table).groupBy("business_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount_paise").alias("amount_paise")
+    )
+
+
 # ---- streams
 
 
