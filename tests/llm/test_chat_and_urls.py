@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from collections import Counter
-from pathlib import Path
 
 import __spark_entry__ as entry
 from tieout.llm import chat, url_filter
@@ -71,6 +70,13 @@ def plain_parse(url):
     return host, path[:end]
 
 
+def differ(n, b, n0, b0):
+    if not n or not n0:
+        return False
+    both = (b + b0) / (n + n0)
+    return abs(b / n - b0 / n0) > 1.96 * (both * (1 - both) * (1 / n + 1 / n0)) ** 0.5
+
+
 def plain_verdicts(urls):
     """The whole method on lists."""
     rows = []
@@ -82,17 +88,24 @@ def plain_verdicts(urls):
         total, each = Counter(), Counter()
         for r in rows:
             if len(r[4]) > depth:
-                total[r[0], r[5]] += 1
-                each[r[0], r[5], r[4][depth]] += 1
+                for bad in ("all", "block")[: 1 + (r[3] == "block")]:
+                    total[r[0], r[5], bad] += 1
+                    each[r[0], r[5], r[4][depth], bad] += 1
+        step = {}
+        for host, node, segment, bad in list(each):
+            n, b = each[host, node, segment, "all"], each[host, node, segment, "block"]
+            big, big_b = total[host, node, "all"], total[host, node, "block"]
+            literal = n >= 10 and (n * 16 >= big or differ(n, b, big - n, big_b - b))
+            name = ("=" if segment[0] in "*=" else "") + segment
+            step[host, node, segment] = "/" + (name if literal else "*")
         for r in rows:
             if len(r[4]) > depth:
-                literal = each[r[0], r[5], r[4][depth]] >= total[r[0], r[5]] * url_filter.LITERAL_SHARE
-                r[5] += "/" + (r[4][depth] if literal else "*")
+                r[5] += step[r[0], r[5], r[4][depth]]
     for r in rows:
         r[5] += "/**" * (len(r[4]) > url_filter.MAX_DEPTH)
     labelled, blocked = Counter(), Counter()
     for host, _, _, verdict, _, template in rows:
-        labelled[host, template] += verdict is not None
+        labelled[host, template] += verdict is not None or "/*" in template
         blocked[host, template] += verdict == "block"
     shapes = {}
     for host, template in labelled:
@@ -108,9 +121,7 @@ def plain_verdicts(urls):
         for i, t in enumerate(known):
             if i:
                 o = known[i - 1]
-                both = (b(t) + b(o)) / (n(t) + n(o))
-                error = (both * (1 - both) * (1 / n(t) + 1 / n(o))) ** 0.5
-                if b(t) / n(t) - b(o) / n(o) <= url_filter.SIGNIFICANT * error:
+                if not differ(n(t), b(t), n(o), b(o)):
                     groups[-1].append(t)
                     continue
             groups.append([t])
@@ -146,5 +157,26 @@ def test_given_urls_against_lists(spark):
     assert Counter((r.host, r.path, r.rule, r.verdict) for r in found) == Counter(plain_verdicts(urls))
 
 
-def test_executors_need_no_copy_of_the_package():
-    assert Path(chat.__file__).parent.name == "llm"
+def judged(spark, urls):
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    return {urls[r.page_id]: r.verdict for r in url_filter.judge(frame, URL_RULES).collect()}
+
+
+def test_pages_that_no_rule_fits_stay_where_few_neighbours_are_blocked(spark):
+    host = "http://a.example.com"
+    sizes = {"main": 400, "de": 20, "es": 20, "news": 20, "*": 12, "=x": 3}
+    urls = [f"{host}/{s}/{k}" for s, n in sizes.items() for k in range(n)]
+    # Rare segments beside rare blocked ones, and blocked pages alone far down one path.
+    urls += [f"http://b.example.com/{s}/{k}" for s in ("de", "es", "fr") for k in range(4)]
+    deep = "/".join("abcdefghij")
+    urls += [f"http://c.example.com/de/{deep}/{k}" for k in range(30)]
+    found = judged(spark, urls)
+    assert Counter(found[u] for u in urls) == Counter(v for *_, v in plain_verdicts(urls))
+    assert {found[u] for u in urls if "/de/" not in u} == {"allow"}
+    assert {found[u] for u in urls if "/de/" in u} == {"block"}
+
+
+def test_pages_beside_blocked_ones_alone_are_blocked(spark):
+    # The rule wants a path; nearly all pages of the host have one and nothing tells them apart.
+    urls = [f"http://a.net/x/{k}" for k in range(90)] + ["http://a.net/"] * 30 + ["http://a.net"]
+    assert judged(spark, urls)["http://a.net"] == "block"

@@ -176,6 +176,7 @@ r AS (
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
+    "op10_url_filters": url_filter.judge_sql(URL_RULES),
     "op11_quality_rules": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
