@@ -112,6 +112,30 @@ def test_top_k_of_few_and_none(spark):
     found = topk.top_k(frame, F.col("vec_id") == 0).collect()
     assert [tuple(r) for r in found] == scored(rows, 5, lambda i: i == 0)
     assert topk.top_k(frame.limit(0), F.col("vec_id") == 0).collect() == []
-    with pytest.raises(Exception, match="out of range"):
-        big = spark.createDataFrame([(0, [1e30], 0, 0), (1, [1e30], 0, 0)], SCHEMA)
-        topk.top_k(big, F.col("vec_id") == 0).collect()
+
+
+@pytest.mark.parametrize("page, block_rows", [(4, 30), (512, 8192)])
+def test_top_k_with_huge_vectors_is_exact(spark, monkeypatch, page, block_rows):
+    monkeypatch.setattr(topk, "PAGE", page)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
+    rows = vectors()
+    # Products over 2 ** 53 that differ by less than a double shows, and ties among them.
+    rows += [(700 + i, [1e8, *[float(i % 3)] * 7], 0, 0) for i in range(6)]
+    rows += [(710 + i, [0.0] * 7 + [3e6 + i / 4], 0, 0) for i in range(8)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = topk.top_k(frame, F.pmod("vec_id", F.lit(5)) == 0).collect()
+    got = sorted(tuple(r) for r in found)
+    top = 2**63 - 1
+    full = scored(rows, 5, lambda i: i % 5 == 0)
+    assert any(2**53 < s <= top for *_, s in full) and any(s > top for *_, s in full)
+    # What a long holds is exact; what it does not is shown as the largest.
+    assert [r for r in got if r[3] < top] == [r for r in full if r[3] <= top]
+    assert {r[:2] for r in got} == {r[:2] for r in full}
+
+
+def test_top_k_beyond_every_long(spark):
+    rows = [(0, [1e30, 1.0], 0, 0), (1, [1e30, 0.0], 0, 0), (2, [-1e30, 0.0], 0, 0), (3, [2e30, 0.0], 0, 0)]
+    found = topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0).collect()
+    assert [tuple(r) for r in found] == [
+        (0, 1, 3, 2**63 - 1), (0, 2, 1, 2**63 - 1), (0, 3, 2, -(2**63))
+    ]

@@ -32,6 +32,7 @@ FANOUT = 16
 _SLACK = 1e-9
 #: Integers up to here are exact as doubles.
 _EXACT = 1 << 53
+_LARGEST = (1 << 63) - 1
 
 
 class Tree:
@@ -42,6 +43,7 @@ class Tree:
         self.most = float(self.square.max()) if len(vectors) else 0.0
         last = np.sqrt(np.maximum(self.most - self.square, 0.0))
         self.points = np.column_stack([vectors, last])
+        self.largest = float(np.abs(vectors).max(initial=0.0))
         # A page is ("leaf", rows, distances to its pivot) or ("node", children), where children
         # are parallel arrays of pivot row, radius, distance to the page's pivot, and page.
         self.pages: list[tuple] = []
@@ -79,10 +81,22 @@ class Tree:
         self.pages.append(("node", at, radius, parent, [c[2] for c in children]))
         return len(self.pages) - 1
 
+    def _rounding(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """More than the rounding of each row's product with the query."""
+        return np.abs(self.points[rows, :-1]) @ np.abs(query) * (4 * len(query) * 2.0**-53)
+
+    def _whole(self, rows: np.ndarray, query: list[int]) -> list[int]:
+        found = self.points[rows, :-1].tolist()
+        return [sum(int(a) * b for a, b in zip(v, query, strict=True)) for v in found]
+
     def search(self, query: np.ndarray, k: int, ids: np.ndarray, own: int):
         """The k best (score, row), by falling score, then smaller id; row `own` is left out."""
         q = np.append(query, 0.0)
         norm = float(query @ query)
+        # Where products pass what doubles hold exactly, they bound the scores, and whole numbers
+        # settle the few that are left.
+        exact = self.largest * float(np.abs(query).max(initial=0.0)) * len(query) < _EXACT
+        whole = None if exact else [int(c) for c in query.tolist()]
         best: list[tuple[int, int, int]] = []  # heap of (score, -id, row), worst first
         reach = np.inf
         queue = [(0.0, 0, self.root, None)]
@@ -100,15 +114,17 @@ class Tree:
                 if not len(rows):
                     continue
                 scores = self.points[rows, :-1] @ query
+                off = 0.0 if exact else self._rounding(rows, query)
                 if len(rows) > 4 * k:
-                    # All that reach the page's k-th best score, ties too.
-                    fit = scores >= np.partition(scores, len(scores) - k)[-k]
-                    rows, scores = rows[fit], scores[fit]
+                    # All that can reach the page's k-th best score, ties too.
+                    fit = scores + off >= np.partition(scores - off, len(scores) - k)[-k]
+                    rows, scores, off = rows[fit], scores[fit], off if exact else off[fit]
                 if len(best) == k:
                     # Ties with the worst stay: the smaller id decides them.
-                    fit = scores >= best[0][0]
+                    fit = scores + off >= best[0][0]
                     rows, scores = rows[fit], scores[fit]
-                for s, i, r in zip(scores.tolist(), (-ids[rows]).tolist(), rows.tolist(), strict=True):
+                found = scores.tolist() if exact else self._whole(rows, whole)
+                for s, i, r in zip(found, (-ids[rows]).tolist(), rows.tolist(), strict=True):
                     entry = (int(s), i, r)
                     if len(best) < k:
                         heapq.heappush(best, entry)
@@ -147,15 +163,16 @@ def _searched(k: int, batch: pd.DataFrame) -> pd.DataFrame:
         queries = np.frombuffer(row.query_vectors, "f8").reshape(len(query_ids), -1)
         for u, q, vector in zip(query_uids.tolist(), query_ids.tolist(), queries, strict=True):
             for score, i, r in tree.search(vector, k, ids, place.get(u, -1)):
-                out.append((u, q, i, int(uids[r]), score))
-    return pd.DataFrame(out, columns=["query_uid", "query_id", "vec_id", "uid", "score"]).astype("i8")
+                held_in = max(min(score, _LARGEST), -_LARGEST - 1)
+                out.append((u, q, i, int(uids[r]), held_in, float(score)))
+    columns = ["query_uid", "query_id", "vec_id", "uid", "score"]
+    return pd.DataFrame(out, columns=[*columns, "size"]).astype(
+        {c: "i8" for c in columns} | {"size": "f8"}
+    )
 
 
 def _packed(batch: pd.DataFrame) -> pd.DataFrame:
     vectors = np.array(batch["v"].tolist(), "f8")
-    bound = np.abs(vectors).max(initial=0.0) ** 2 * vectors.shape[1]
-    if bound >= _EXACT:
-        raise ValueError("scores over 2 ** 53 are out of range")
     return pd.DataFrame(
         {
             "part": [batch["part"].iloc[0]], "dims": [batch["dims"].iloc[0]],
@@ -192,7 +209,8 @@ def top_k(
     repeated rows are candidates of each other. Vectors that are null, empty, or hold null or
     non-finite components, and rows without an id, take no part; vectors of another length are no
     candidates. A query with fewer candidates than k gets them all, one without any has no rows.
-    Scores that could exceed 2 ** 53 raise an error.
+    Scores are exact whatever their size; one that no long holds is shown as the largest or the
+    smallest long, and such scores are ordered in double precision.
 
     Every query meets every block: queries travel in packs, so that no task holds all of them.
     """
@@ -207,7 +225,12 @@ def top_k(
             F.lit(False),
         )
     )
-    whole = F.transform("x", lambda c: F.floor(c * F.lit(float(scale))).cast("double"))
+    # A double of 2 ** 53 or more is whole as it is, and floor() would force it into a long.
+    def floored(c):
+        y = c * F.lit(float(scale))
+        return F.when(F.abs(y) < F.lit(float(_EXACT)), F.floor(y).cast("double")).otherwise(y)
+
+    whole = F.transform("x", floored)
     rows = stored(
         rows.select("vec_id", whole.alias("v"), F.monotonically_increasing_id().alias("uid")),
         "vectors",
@@ -230,8 +253,8 @@ def top_k(
     met = sent.repartition(tasks, *meeting).join(asked.repartition(tasks, *meeting), meeting)
     found = map_batches(
         met, partial(_searched, k),
-        "query_uid bigint, query_id bigint, vec_id bigint, uid bigint, score bigint",
+        "query_uid bigint, query_id bigint, vec_id bigint, uid bigint, score bigint, size double",
     )
-    order = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")
+    order = Window.partitionBy("query_uid").orderBy(F.desc("score"), F.desc("size"), "vec_id", "uid")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
