@@ -54,6 +54,23 @@ def test_odd_rows_pass_through(spark):
         assert stage(spark, both.limit(0), FOLDER).count() == 0
 
 
+def test_languages_that_nobody_taught_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = [
+        "这是一个完全不同的语言的文本,我们没有学习过它。" * 5, "быстрая коричневая лиса прыгает " * 4,
+        "xkcd bcdf ghjkl mnpqr stvwx zbcdf " * 8, "日本語の文章です。学習していません。" * 6,
+    ]
+    odd = spark.createDataFrame(
+        [(90_000 + i, t, None, "s", len(t)) for i, t in enumerate(strange)], docs.schema
+    )
+    found = corpus_pipeline.identify_language(spark, docs.unionByName(odd), FOLDER)
+    kept = {r.doc_id for r in found.select("doc_id").collect()}
+    assert not kept & {90_000 + i for i in range(len(strange))}
+    good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1")
+    clean = {r.doc_id for r in good.collect()}
+    assert len(clean - kept) <= 0.005 * len(clean)
+
+
 def test_one_row_of_each_group_of_near_copies(spark, documents):
     base = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").take(12)]
     rows = [(i, t) for i, t in enumerate(base[:5])]
@@ -86,9 +103,10 @@ def test_run_against_brute_force_of_every_stage(spark):
     i, t = at["doc_id"], at["text"]
 
     def languages(rows):
-        judged = language_id.predict(frame, language_id.train(frame)).collect()
+        model = language_id.train(frame)
+        judged = language_id.predict(frame, model, foreign_column="foreign").collect()
         return [tuple(r[c] for c in docs.columns) for r in judged
-                if r.lang_pred != language_id.UNDETERMINED and r.score >= 0.5]
+                if r.lang_pred != language_id.UNDETERMINED and r.score >= 0.5 and not r.foreign]
 
     def qualities(rows):
         model = quality.train(frame, spark.read.parquet(f"{FOLDER}/labels.parquet"))

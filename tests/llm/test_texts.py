@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -211,6 +212,66 @@ def test_language_edges(spark, documents):
     assert language_id.predict(frame.limit(0), model).count() == 0
 
 
+def test_a_bounded_sample_has_one_text_of_each_id(spark):
+    rows = [(i, f"text {i}", "en", 1) for i in range(400)] + [(7, f"again {k}", "en", 1) for k in range(500)]
+    rows += [(None, f"no id {k}", "en", 1) for k in range(300)] + [(i, "der die", "de", 1) for i in range(9)]
+    rows += [(900, None, "en", 1), (901, "x", None, 1), (902, "", "en", 1)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, _x int").repartition(5)
+    for bound in (20, 150, 5000):
+        found = language_id.sample(frame, bound).collect()
+        ids = [r.doc_id for r in found if r.lang == "en"]
+        assert len(ids) == len(set(ids)) == min(bound, 401) and None not in ids
+        assert sorted(r.doc_id for r in found if r.lang == "de") == list(range(9))
+        assert {r.text for r in found if r.lang == "en" and r.doc_id == 7} <= {"again 0"}
+    assert sorted(r.doc_id for r in language_id.sample(frame, 20).collect()) == sorted(
+        r.doc_id for r in language_id.sample(frame.repartition(2), 20).collect()
+    )
+
+
+def plain_chance(counts, context, b):
+    """Chance of a byte after a context, shorter ones asked for what it has not seen."""
+    here = counts[context]
+    total, kinds = sum(here.values()), len(here)
+    if b in here:
+        return here[b] / (total + kinds)
+    escape = kinds / (total + kinds) if kinds else 1.0
+    if not context:
+        return escape / max(1, 256 - kinds)
+    left = 1.0 - sum(plain_chance(counts, context[1:], x) for x in here)
+    return escape * plain_chance(counts, context[1:], b) / left
+
+
+@pytest.mark.parametrize("order", [0, 1, 3])
+def test_code_lengths_against_plain_matching(spark, order):
+    taught = ["abracadabra", "abra", "cabbage d", "ééa"]
+    frame = spark.createDataFrame([(t, "x") for t in taught], "text string, lang string")
+    model = language_id._learn(frame, ["x"], order, 10_000)
+    for text in ("abracadabra", "zab", "cabé", "a", "ddd", "bage ü"):
+        raw = text.encode()
+        chances, context = 0.0, b""
+        for i, b in enumerate(raw):
+            context = raw[max(0, i - order) : i]
+            counts = defaultdict(lambda: defaultdict(int))
+            for line in map(str.encode, taught):
+                for j, c in enumerate(line):
+                    for k in range(min(j, order) + 1):
+                        counts[line[j - k : j]][c] += 1
+            while context and context not in counts:
+                context = context[1:]
+            chances -= math.log2(plain_chance(counts, context, b))
+        (found,) = model.code_lengths([raw])
+        assert found[0] == pytest.approx(chances, rel=1e-4)
+
+
+def test_each_language_keeps_contexts_of_its_own(spark):
+    big = ["the quick brown fox jumps over the lazy dog again and again " * 20] * 40
+    rows = [(i, t, "en", 1) for i, t in enumerate(big)] + [(100 + i, "żółć gęślą jaźń", "pl", 1) for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, _x int")
+    model = language_id.train(frame, max_contexts=40)
+    assert sum("ż".encode()[:1] in c for c in model.contexts) > 0
+    assert len(model.contexts) <= 41
+
+
 def test_held_out_language(spark):
     from __spark_entry__ import queries
 

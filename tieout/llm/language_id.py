@@ -9,7 +9,7 @@ text costs the sum of its bytes' lengths, and the language that codes it shortes
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 import numpy as np
@@ -17,13 +17,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieout.llm.common import blocks, map_batches
+from tieout.llm.common import blocks, map_batches, stored
 
 MAX_ORDER = 3
 #: Training texts per language: the bound of the sample.
 SAMPLE_TEXTS = 1_500
-#: Contexts that are kept, most frequent first; a context's prefixes and suffixes come before it.
+#: Contexts that are kept, an equal share for each language, its most frequent first; a context's
+#: prefixes and suffixes come before it.
 MAX_CONTEXTS = 20_000
+#: One of so many sampled texts is not counted but tells what texts of its language cost.
+HELD_OUT = 5
+#: A text is foreign if it costs this many times what its language's own texts do per byte, and that
+#: by this many times their spread, which counts for a text of one byte and shrinks with its root.
+FOREIGN_TIMES = 1.75
+FOREIGN_SPREADS = 8.0
 UNDETERMINED = "und"
 _BYTES = 256
 #: Characters whose bytes are counted at a time; each takes some 60 bytes of memory.
@@ -40,6 +47,8 @@ class Model:
     #: Rows (context number, next byte, language number, count).
     counts: np.ndarray
     max_order: int = MAX_ORDER
+    #: Per language, what its held-out texts cost: bits per byte, and their spread at one byte.
+    usual: tuple[tuple[float, float], ...] = ()
     _tables: tuple | None = field(default=None, repr=False)
 
     def __getstate__(self):
@@ -108,6 +117,14 @@ class Model:
         return out
 
 
+    def foreign(self, lang: np.ndarray, bits: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        """Which texts cost too much even under the language that codes them shortest."""
+        size = np.maximum(np.fromiter(map(len, texts), float, len(texts)), 1.0)
+        rate, spread = np.array(self.usual).reshape(-1, 2)[lang].T
+        limit = np.maximum(FOREIGN_TIMES * rate, rate + FOREIGN_SPREADS * spread / np.sqrt(size))
+        return bits / size > limit
+
+
 #: Bytes that are scored at a time.
 _POSITIONS = 1 << 18
 
@@ -179,39 +196,94 @@ def train(
     sample_texts: int = SAMPLE_TEXTS,
     max_contexts: int = MAX_CONTEXTS,
 ) -> Model:
-    """The model of `documents` (doc_id, text, lang): rows without text or lang teach nothing.
+    """The model of `documents` (doc_id, text, lang).
+
+    Rows without a doc_id, text or lang teach nothing. At most `sample_texts` ids per language,
+    chosen by a hash of doc_id, are learnt, one whole text of each, the first in binary order, by all
+    executors. The tree that reaches the driver has at most `max_contexts` contexts of at most 256
+    next bytes. What is collected besides are the languages and a row per held-out text.
+    """
+    texts = sample(documents, sample_texts)
+    languages = sorted(r[0] for r in texts.select("lang").distinct().collect())
+    if not languages:
+        return Model([], [b""], np.zeros((0, 4), np.int64), max_order)
+    aside = F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(HELD_OUT)) == 0
+    model = _learn(texts.where(~aside), languages, max_order, max_contexts)
+    return replace(model, usual=_usual(texts.where(aside), model))
 
-    At most `sample_texts` whole texts per language, chosen by a hash of doc_id, are counted, by
-    all executors. The tree that reaches the driver has at most `max_contexts` contexts of at most
-    256 next bytes.
+
+def sample(documents: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """(doc_id, lang, text): at most `sample_texts` ids per language, one text of each.
+
+    Ids far enough down in the order of their hashes are dropped where they stand, by how many
+    ids their language has, so that what is ranked is a few times the bound and no more.
     """
-    usable = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Ranks need no texts; only the chosen ids go back for theirs, and they are few.
+    usable = documents.where(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    )
+    place = F.xxhash64("doc_id")
+    many = usable.groupBy(F.col("lang").alias("_lang")).agg(
+        F.approx_count_distinct("doc_id").alias("ids")
+    )
+    share = 2.0 * (sample_texts + 50) / F.col("ids")
+    low = place.cast("double") + F.lit(2.0**63) < F.least(share, F.lit(1.0)) * F.lit(2.0**64)
+    few = usable.select("doc_id", "lang").join(many, F.col("lang") == F.col("_lang")).where(
+        (share >= 1.0) | low
+    )
+    drawn = Window.partitionBy("lang").orderBy(place, "doc_id")
     chosen = (
-        usable.select("doc_id", "lang")
+        few.select("doc_id", "lang")
+        .distinct()
         .withColumn("place", F.row_number().over(drawn))
         .where(F.col("place") <= sample_texts)
         .select("doc_id", "lang")
-        .distinct()
-    )
-    languages = sorted(r[0] for r in chosen.select("lang").distinct().collect())
-    if not languages:
-        return Model([], [b""], np.zeros((0, 4), np.int64), max_order)
-    texts = usable.select("doc_id", "lang", "text").join(
-        F.broadcast(chosen), ["doc_id", "lang"], "left_semi"
     )
+    found = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    return stored(found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")), "taught")
+
+
+def _usual(texts: DataFrame, model: Model) -> tuple[tuple[float, float], ...]:
+    """What the held-out texts of each language cost under it; the bound of the sample holds."""
+    number = {x: i for i, x in enumerate(model.languages)}
+
+    def costs(batch: pd.DataFrame) -> pd.DataFrame:
+        raw = [t.encode() for t in batch["text"]]
+        bits = np.concatenate(
+            [model.code_lengths(raw[a:b]) for a, b in blocks(raw)]
+        )
+        lang = batch["lang"].map(number).to_numpy("i8")
+        size = np.fromiter(map(len, raw), float, len(raw))
+        return pd.DataFrame({"lang": lang, "bits": bits[np.arange(len(raw)), lang], "size": size})
+
+    found = map_batches(texts, costs, "lang bigint, bits double, size double").toPandas()
+    out = []
+    for i in range(len(model.languages)):
+        own = found[(found["lang"] == i) & (found["size"] > 0)]
+        if len(own) < 2:
+            out.append((np.inf, 0.0))  # too little to tell foreign texts by
+            continue
+        rate = float((own["bits"] / own["size"]).median())
+        away = (own["bits"] / own["size"] - rate) * np.sqrt(own["size"])
+        out.append((rate, 1.4826 * float(away.abs().median())))
+    return tuple(out)
+
+
+def _learn(texts: DataFrame, languages: list[str], max_order: int, max_contexts: int) -> Model:
     counts = map_batches(
         texts.select("text", "lang"), partial(_count, max_order, languages),
         "size int, gram bigint, lang int, n bigint",
     )
     counts = counts.groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
     counts = counts.withColumn("context", F.shiftright("gram", 8))
+    # Each language chooses as many, so that one with few texts keeps its contexts too.
+    own = Window.partitionBy("lang").orderBy(F.desc("total"), "size", "context")
     often = (
-        counts.groupBy("size", "context")
+        counts.groupBy("lang", "size", "context")
         .agg(F.sum("n").alias("total"))
-        .orderBy(F.desc("total"), "size", "context")
-        .limit(max_contexts)
+        .withColumn("place", F.row_number().over(own))
+        .where(F.col("place") <= max(1, max_contexts // len(languages)))
+        .select("size", "context")
+        .distinct()
     )
     kept = counts.join(F.broadcast(often), ["size", "context"], "left_semi")
     rows = kept.select("size", "context", F.col("gram").bitwiseAND(F.lit(255)).alias("byte"), "lang", "n")
@@ -243,16 +315,20 @@ def _predict(model: Model, texts: pd.Series) -> pd.DataFrame:
     names = np.array([*model.languages, UNDETERMINED], object)
     pred = np.full(len(texts), len(model.languages))
     score = np.zeros(len(texts))
+    foreign = np.zeros(len(texts), bool)
     raw = [(t or "") for t in texts]
     for low, high in blocks(raw):
         if not model.languages:
             break
-        bits = model.code_lengths([t.encode() for t in raw[low:high]])
+        coded = [t.encode() for t in raw[low:high]]
+        bits = model.code_lengths(coded)
         best = bits.min(axis=1, keepdims=True)
         # Chance of the best language if all were equally likely before the text.
         score[low:high] = 1.0 / np.exp2(np.maximum(best - bits, -1000)).sum(axis=1)
         pred[low:high] = bits.argmin(axis=1)
-    return pd.DataFrame({"lang_pred": names[pred], "score": score})
+        if model.usual:
+            foreign[low:high] = model.foreign(bits.argmin(axis=1), best[:, 0], coded)
+    return pd.DataFrame({"lang_pred": names[pred], "score": score, "foreign": foreign})
 
 
 def predict(
@@ -261,9 +337,14 @@ def predict(
     text_column: str = "text",
     pred_column: str = "lang_pred",
     score_column: str = "score",
+    foreign_column: str | None = None,
 ) -> DataFrame:
     """`documents` with the predicted language and its chance from 0 to 1.
 
+    The chance compares the learnt languages with each other. `foreign_column`, if named, tells
+    which texts fit none of them: those that cost much more per byte than the held-out texts of
+    their best language do. A language with fewer than two held-out texts calls nothing foreign.
+
     Every whole text is read, and nothing else. A null text, an empty one, one without any letter,
     and every text under a model without languages give `und` with score 0. Of languages that
     code a text equally short the alphabetically first is predicted. Rows, also repeated ones, and
@@ -271,15 +352,16 @@ def predict(
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, foreign boolean")
     def found(texts: pd.Series) -> pd.DataFrame:
         return _predict(shared.value, texts)
 
     letters = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))
     judged = documents.withColumn("_language", found(F.col(text_column)))
-    return judged.withColumns(
-        {
-            pred_column: F.when(letters, F.col("_language.lang_pred")).otherwise(UNDETERMINED),
-            score_column: F.when(letters, F.col("_language.score")).otherwise(0.0),
-        }
-    ).drop("_language")
+    added = {
+        pred_column: F.when(letters, F.col("_language.lang_pred")).otherwise(UNDETERMINED),
+        score_column: F.when(letters, F.col("_language.score")).otherwise(0.0),
+    }
+    if foreign_column is not None:
+        added[foreign_column] = letters & F.col("_language.foreign")
+    return judged.withColumns(added).drop("_language")
