@@ -222,18 +222,17 @@ def sample(documents: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     place = F.xxhash64("doc_id")
-    many = usable.groupBy(F.col("lang").alias("_lang")).agg(
-        F.approx_count_distinct("doc_id").alias("ids")
-    )
-    share = 2.0 * (sample_texts + 50) / F.col("ids")
-    low = place.cast("double") + F.lit(2.0**63) < F.least(share, F.lit(1.0)) * F.lit(2.0**64)
-    few = usable.select("doc_id", "lang").join(many, F.col("lang") == F.col("_lang")).where(
-        (share >= 1.0) | low
-    )
+    # One number per language comes to the driver, so no row moves before most are dropped.
+    many = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).collect()
+    share = {r["lang"]: min(1.0, 2.0 * (sample_texts + 50) / r["ids"]) for r in many}
+    upto = F.create_map(*(F.lit(x) for pair in share.items() for x in pair)) if share else None
+    low = F.lit(False)
+    if upto is not None:
+        low = place.cast("double") + F.lit(2.0**63) <= upto[F.col("lang")] * F.lit(2.0**64)
+    few = usable.select("doc_id", "lang").where(low)
     drawn = Window.partitionBy("lang").orderBy(place, "doc_id")
     chosen = (
-        few.select("doc_id", "lang")
-        .distinct()
+        few.distinct()
         .withColumn("place", F.row_number().over(drawn))
         .where(F.col("place") <= sample_texts)
         .select("doc_id", "lang")
