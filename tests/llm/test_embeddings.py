@@ -96,7 +96,9 @@ def scored(rows, k, is_query):
 def test_top_k_against_all_scores(spark, monkeypatch, page, block_rows):
     monkeypatch.setattr(topk, "PAGE", page)
     monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    monkeypatch.setattr(topk, "BALLS", 2)
+    monkeypatch.setattr(topk, "PACKS", 3)
+    monkeypatch.setattr(topk, "PIVOTS", 9)
     odd = [r for r in ODD if r[0] != 908]
     rows = [*vectors(), *odd, *[(1000 + i, vectors()[5][1], 0, 0) for i in range(20)]]
     rows.append(rows[0])  # a repeated row is a candidate of its like
@@ -139,3 +141,36 @@ def test_top_k_beyond_every_long(spark):
     assert [tuple(r) for r in found] == [
         (0, 1, 3, 2**63 - 1), (0, 2, 1, 2**63 - 1), (0, 3, 2, -(2**63))
     ]
+
+
+def test_balls_bound_every_score():
+    r = np.random.default_rng(5)
+    for scale in (1.0, 1e6, 1e150):
+        balls = [r.normal(0, scale, (20, 6)) + r.normal(0, 3 * scale, 6) for _ in range(9)]
+        centres = np.array([b.mean(axis=0) for b in balls])
+        radii = np.array([np.sqrt(((b - c) ** 2).sum(axis=1)).max() for b, c in zip(balls, centres)])
+        queries = r.normal(0, scale, (30, 6))
+        bound = topk.most_in_balls(queries, centres, radii)
+        scores = np.array([[(b @ q).max() for b in balls] for q in queries])
+        assert (scores <= bound).all()
+
+
+def test_blocks_are_left_out_by_their_balls(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "PIVOTS", 40)
+    r = np.random.default_rng(2)
+    centres = r.normal(0, 1, (8, 12)) * 6
+    rows = [(i, (centres[i % 8] + r.normal(0, 0.05, 12)).tolist(), 0, 0) for i in range(800)]
+    sent, written = [], topk.stored
+
+    def kept(frame, name):
+        out = written(frame, name)
+        sent.extend([out] if name == "sent" else [])
+        return out
+
+    monkeypatch.setattr(topk, "stored", kept)
+    found = topk.top_k(spark.createDataFrame(rows, SCHEMA).repartition(4), F.pmod("vec_id", F.lit(5)) == 0)
+    assert sorted(tuple(x) for x in found.collect()) == scored(rows, 5, lambda i: i % 5 == 0)
+    met = sent[0].select(F.sum(F.length("query_ids") / 8)).first()[0]
+    blocks = sent[0].select("block").distinct().count()
+    assert met < 160 * blocks / 2
