@@ -6,6 +6,8 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -137,11 +139,12 @@ def removed(rows, window=20):
     return out
 
 
-@pytest.mark.parametrize("block", [4_000_000, 300])
-def test_removal_against_all_windows(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, indexed", [(4_000_000, 200_000), (300, 200_000), (300, 3)])
+def test_removal_against_all_windows(spark, monkeypatch, block, indexed):
     from tieout.llm import common
 
     monkeypatch.setattr(common.blocks, "__defaults__", (block,))
+    monkeypatch.setattr(substring_dedup, "INDEXED", indexed)
     draw = random.Random(7)
     base = prose(8, 6, 120)
     passages = [p.split()[20:75] for p in base]
@@ -167,6 +170,42 @@ def test_removal_against_all_windows(spark, monkeypatch, block):
     assert substring_dedup.deduplicate(frame.limit(0)).collect() == []
 
 
+def test_factors_are_greedy_and_meet_at_boundaries():
+    def letters(text):
+        return [c.encode() for c in text]
+
+    reference = substring_dedup.Reference(4, None)
+    assert reference.factors(letters("abcdefgh")) == ([], [])
+    assert reference.factors(letters("efghijkl")) == ([(0, 4)], [])
+    # Two factors that overlap: the phrase "efgh" ends one, "fghi" begins in the other piece.
+    assert reference.factors(letters("cdefghijk")) == ([(0, 6), (3, 6)], [])
+    assert reference.factors(letters("xabcx")) == ([], [])
+    assert reference.factors(letters("zzzzzz")) == ([(1, 5)], [])
+    full = substring_dedup.Reference(4, 2)
+    assert full.factors(letters("abcdefg")) == ([], [2, 3])
+    assert full.factors(letters("abcdefg")) == ([(0, 7)], [])
+
+
+def test_phrases_with_one_hash_are_told_apart(monkeypatch):
+    rows = [(i, " ".join(f"{c}{n}" for n in range(30))) for i, c in enumerate("abcab")]
+    whole = substring_dedup.Block.rolled
+
+    def clash(self, size, seed):
+        return np.full_like(whole(self, size, seed), 7)
+
+    frames = pd.DataFrame({
+        "uid": range(5), "ord": range(5), "text": [t for _, t in rows], "places": [list(range(23))] * 5,
+    })
+    monkeypatch.setattr(substring_dedup.Block, "rolled", clash)
+    pieces = pd.concat(substring_dedup._pieces(20, 8, iter([frames])))
+    together = pieces.sort_values(["key", "ord", "uid", "start"])
+    spans = pd.concat(substring_dedup._parsed(20, None, iter([together])))
+    gone = {}
+    for r in spans.itertuples():
+        gone.setdefault(r.uid, set()).update(range(r.start, r.start + r.size))
+    assert gone == {3: set(range(30)), 4: set(range(30))}
+
+
 # ---- language and quality
 
 

@@ -1,16 +1,20 @@
-"""Removal of word passages that occur earlier in the corpus, by exact window hashing.
-
-Relative Lempel-Ziv parsing was the method dealt; this is not it. No document is read from left to
-right, no longest match is extended and no factor has a place in a reference. Instead the 96-bit
-hashes of all windows of `window` words whose anchor repeats meet by value, and every window but
-the first of its hash is removed: equal windows share a hash, wherever a factor would begin or end.
-Greedy factors would need the windows across two factors looked up a second time, and each
-document to be parsed against the reference in order; the join by hash needs neither.
-
-Two steps keep the index small. Phrases choose an anchor, their least hash of `anchor` words, so
-equal phrases choose equal anchors; only phrases whose anchor occurs twice in the corpus are looked
-up at all. Before each shuffle, what repeats within a task's block of texts is settled there, so
-that a phrase in every document sends one row per block.
+"""Removal of word passages that occur earlier in the corpus, by relative Lempel-Ziv parsing.
+
+Each phrase of `window` words chooses an anchor, its least hash of `anchor` words, so equal phrases
+choose equal anchors. Only phrases whose anchor occurs twice in the corpus are parsed. They travel
+in pieces: all the words of neighbouring phrases that chose one anchor. A reference block holds the
+pieces of some anchors, indexed by phrase, in the order of the corpus; whatever a piece could be
+copied from is in the block that it is sent to, so this one block stands for all.
+
+A piece is parsed from left to right. The phrase at hand is looked up; where it is known, the factor
+is extended word by word along its reference as far as both agree, and the parse goes on with the
+first phrase that the factor does not hold whole, which may begin within it: so phrases across the
+boundary of two factors are looked up as well. Unknown phrases join the reference. Factors have at
+least `window` words and become duplicate spans. Words are compared themselves; hashes only say
+where to look.
+
+Before each shuffle, what repeats within a task's block of texts is settled there, so that a phrase
+in every document sends one piece per block.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ WINDOW = 20
 ANCHOR = 8
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _REMEMBERED = 400_000
+#: Phrases of one anchor that a task indexes; those beyond meet by their own hash.
+INDEXED = 200_000
 
 
 class _Hashes(dict):
@@ -52,12 +58,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Block:
-    """Some whole texts as one line of word hashes."""
+    """Some whole texts as one line of words, and of word hashes."""
 
     def __init__(self, texts: list) -> None:
         words = [words_of(t) for t in texts]
         self.sizes = np.fromiter(map(len, words), np.int64, len(words))
-        line = [w for each in words for w in each]
+        self.line = line = [w for each in words for w in each]
         self.hashes = np.fromiter(map(_HASHES.__getitem__, line), "u8", len(line))
         self.doc = np.repeat(np.arange(len(texts)), self.sizes)
         first = np.cumsum(self.sizes) - self.sizes
@@ -141,14 +147,42 @@ def _anchors(window: int, anchor: int, batches):
             yield pd.concat([found, tell])
 
 
-#: A phrase is known by 96 bits.
-_PHRASES = (
-    "h1 bigint, h2 int, ord bigint, uid bigint, start int, words int, earlier boolean"
-)
+#: A piece with its words is still to be parsed; one without is a span of `size` words to remove.
+_PIECES = "key bigint, ord bigint, uid bigint, start int, size int, words binary"
 
 
-def _phrases(window: int, anchor: int, batches):
-    """Phrases with a repeated anchor: the first of each in its block, and runs of the others."""
+def _frame(rows) -> pd.DataFrame:
+    types = {"key": "i8", "ord": "i8", "uid": "i8", "start": "i4", "size": "i4"}
+    return pd.DataFrame(rows, columns=[*types, "words"]).astype(types)
+
+
+def _spread(uids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A key that sends spans anywhere."""
+    return _mix(uids.astype("u8") + starts.astype("u8"), np.uint64(0x9E3779B97F4A7C15)).view("i8")
+
+
+def _equal(line: list[bytes], a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
+    """Whether the phrases at a and b have the same words."""
+    number: dict[bytes, int] = {}
+    numbers = np.fromiter((number.setdefault(w, len(number)) for w in line), "i4", len(line))
+    same = np.ones(len(a), bool)
+    for i in range(window):
+        same &= numbers[a + i] == numbers[b + i]
+    return same
+
+
+def _runs(doc: np.ndarray, start: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of neighbouring phrases begin that agree in `more`, and how many each has."""
+    opens = np.ones(len(doc), bool)
+    opens[1:] = (np.diff(doc) != 0) | (np.diff(start) != 1)
+    for x in more:
+        opens[1:] |= np.diff(x) != 0
+    head = np.flatnonzero(opens)
+    return head, np.diff(np.append(head, len(doc)))
+
+
+def _pieces(window: int, anchor: int, batches):
+    """Phrases with a repeated anchor: pieces of those first in their block, spans of the others."""
     for batch in batches:
         texts, places = list(batch["text"]), list(batch["places"])
         orders, uids = batch["ord"].to_numpy(), batch["uid"].to_numpy()
@@ -163,43 +197,109 @@ def _phrases(window: int, anchor: int, batches):
             for i, at in enumerate(places[low:high]):
                 at = np.asarray(at, np.int64) + first[i]
                 repeated[at] = hashes[at]
-            asked = block.whole(window) & (
-                block.least(repeated, window, anchor) == block.least(hashes, window, anchor)
-            )
+            least = block.least(hashes, window, anchor)
+            asked = block.whole(window) & (block.least(repeated, window, anchor) == least)
             at = np.flatnonzero(asked)
             if not len(at):
                 continue
-            h1 = block.rolled(window, 11)[at]
-            h2 = block.rolled(window, 23)[at].astype("u4").view("i4")
+            # The leftmost place of the anchor; equal phrases have it at equal places.
+            chosen = np.zeros(len(at), np.int64)
+            for i in range(window - anchor, -1, -1):
+                here = hashes[at + i] == least[at]
+                chosen[here] = at[here] + i
+            h = block.rolled(window, 11)[at]
             doc, start = block.doc[at] + low, block.place[at]
-            order = np.lexsort((start, uids[doc], orders[doc], h2, h1))
-            same = np.zeros(len(at), bool)
-            same[1:] = (np.diff(h1[order]) == 0) & (np.diff(h2[order]) == 0)
+            order = np.lexsort((start, uids[doc], orders[doc], h))
+            again = np.flatnonzero(np.diff(h[order]) == 0) + 1
+            known = _equal(block.line, at[order[again - 1]], at[order[again]], window)
             earlier = np.zeros(len(at), bool)
-            earlier[order] = same
-            yield pd.DataFrame(
+            earlier[order[again[known]]] = True
+
+            at, chosen, doc_new, start_new = (x[~earlier] for x in (at, chosen, doc, start))
+            head, run = _runs(doc_new, start_new, chosen)
+            size = run + window - 1
+            ends = at[head] + size
+            yield _frame(
                 {
-                    "h1": h1[~earlier].view("i8"), "h2": h2[~earlier],
-                    "ord": orders[doc[~earlier]], "uid": uids[doc[~earlier]],
-                    "start": start[~earlier].astype("i4"), "words": window, "earlier": False,
+                    "key": hashes[chosen[head]].view("i8"), "ord": orders[doc_new[head]],
+                    "uid": uids[doc_new[head]], "start": start_new[head], "size": size,
+                    "words": [
+                        b" ".join(block.line[a:b])
+                        for a, b in zip(at[head].tolist(), ends.tolist(), strict=True)
+                    ],
                 }
             )
             doc, start = doc[earlier], start[earlier]
-            opens = np.ones(len(doc), bool)
-            opens[1:] = (np.diff(doc) != 0) | (np.diff(start) != 1)
-            head = np.flatnonzero(opens)
-            run = np.diff(np.append(head, len(doc)))
-            yield pd.DataFrame(
+            head, run = _runs(doc, start)
+            yield _frame(
                 {
-                    # Settled: a group of its own.
-                    "h1": uids[doc[head]], "h2": start[head].astype("i4"),
-                    "ord": orders[doc[head]], "uid": uids[doc[head]],
-                    "start": start[head].astype("i4"),
-                    "words": (run + window - 1).astype("i4"), "earlier": True,
+                    "key": _spread(uids[doc[head]], start[head]), "ord": orders[doc[head]],
+                    "uid": uids[doc[head]], "start": start[head], "size": run + window - 1,
+                    "words": None,
                 }
             )
 
 
+class Reference:
+    """Phrases of one block, each with the earliest piece that holds it and its place there."""
+
+    def __init__(self, window: int, limit: int | None) -> None:
+        self.window, self.limit = window, limit
+        self.index: dict[bytes, tuple[list[bytes], int]] = {}
+
+    def factors(self, words: list[bytes]) -> tuple[list[tuple[int, int]], list[int]]:
+        """(start, words) of the factors of a piece, and the phrases that found no room."""
+        window, index = self.window, self.index
+        found, left = [], []
+        at, size = 0, len(words)
+        while at + window <= size:
+            phrase = b" ".join(words[at : at + window])
+            known = index.get(phrase)
+            if known is None:
+                if self.limit is None or len(index) < self.limit:
+                    index[phrase] = (words, at)
+                else:
+                    left.append(at)
+                at += 1
+                continue
+            reference, there = known
+            n = window
+            while (
+                at + n < size and there + n < len(reference)
+                and words[at + n] == reference[there + n]
+            ):
+                n += 1
+            found.append((at, n))
+            at += n - window + 1
+        return found, left
+
+
+def _parsed(window: int, limit: int | None, batches):
+    """Factors of the pieces, which come key by key in the order of the corpus.
+
+    Phrases beyond `limit` in the reference of one key are equal to none in it. They go on as pieces
+    of their own, to meet by their own hash.
+    """
+    key, reference = None, Reference(window, limit)
+    for batch in batches:
+        out = []
+        rows = zip(*(batch[c].tolist() for c in batch.columns), strict=True)
+        for k, order, uid, start, size, raw in rows:
+            if raw is None:
+                out.append((uid, order, uid, start, size, None))
+                continue
+            if k != key:
+                key, reference = k, Reference(window, limit)
+            words = raw.split(b" ")
+            found, left = reference.factors(words)
+            out += [(uid, order, uid, start + at, n, None) for at, n in found]
+            for at in left:
+                phrase = b" ".join(words[at : at + window])
+                own = xxhash.xxh64_intdigest(phrase, 3) - (1 << 63)
+                out.append((own, order, uid, start + at, window, phrase))
+        yield _frame(out)
+
+
 def _covered(size: int, spans) -> np.ndarray | None:
     """Which words some span (start << 32 | words) covers."""
     if spans is None or not len(spans):
@@ -243,15 +343,20 @@ def factors(
     # that both read one and the same shuffle of the texts.
     order = F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 63) - 1))
     others = [c for c in texts.columns if c not in ("uid", "text")]
-    phrases = (
+    pieces = (
         texts.join(asked, "uid")
         .select("uid", order.alias("ord"), "text", "places", F.hash(*others).alias("all"))
-        .mapInPandas(partial(_phrases, window, anchor), _PHRASES)
+        .mapInPandas(partial(_pieces, window, anchor), _PIECES)
     )
-    first = Window.partitionBy("h1", "h2", "earlier").orderBy("ord", "uid", "start")
-    ranked = phrases.withColumn("rank", F.row_number().over(first))
-    spans = ranked.where(F.col("earlier") | (F.col("rank") > 1))
-    packed = F.shiftleft(F.col("start").cast("bigint"), 32) + F.col("words")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def parsed(pieces: DataFrame, limit: int | None) -> DataFrame:
+        together = pieces.repartition(n, "key").sortWithinPartitions("key", "ord", "uid", "start")
+        return together.mapInPandas(partial(_parsed, window, limit), _PIECES)
+
+    # The second parse is for what found no room in the first; nearly always, spans alone.
+    spans = parsed(parsed(pieces, INDEXED), None)
+    packed = F.shiftleft(F.col("start").cast("bigint"), 32) + F.col("size")
     return spans.groupBy("uid").agg(F.collect_list(packed).alias("spans"))
 
 
