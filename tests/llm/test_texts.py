@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from tieout.llm import language_id, packing, quality, substring_dedup, word_bpe
@@ -384,3 +385,60 @@ def test_ngrams_lose_nothing_between_parts(monkeypatch):
     whole = sorted(n for part in quality.ngrams(text) for n in part.tolist())
     monkeypatch.setattr(quality, "_WORDS_AT_ONCE", 7)
     assert sorted(n for part in quality.ngrams(text) for n in part.tolist()) == whole
+
+
+def plain_counts(text, bits):
+    """n-grams of a text one at a time, in whole numbers."""
+    mask, mix = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    shouted = [1 if len(w) > 1 and w.isupper() else 0 for w in quality._WORD.findall(text)]
+    words = [w.lower() for w in quality._WORD.findall(text)]
+    h = [xxhash.xxh64_intdigest(w.encode(), s) for w, s in zip(words, shouted, strict=True)]
+    pairs = [(a * mix & mask) ^ (b + (a << 7 & mask) & mask) for a, b in zip(h, h[1:])]
+    counts = defaultdict(int)
+    for x in h + pairs:
+        counts[(x * mix & mask) >> (64 - bits)] += 1
+    return counts
+
+
+def test_training_against_plain_updates(spark):
+    bits, epochs = 10, 2
+    words = "good GOOD fine words, here bad !! spam spam\n click".split(" ")
+    draw = random.Random(3)
+    texts = [" ".join(draw.choices(words, k=draw.randrange(0, 25))) for _ in range(60)]
+    labels = [int("spam" not in t) for t in texts]
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        rate = (quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2
+        return -(z[i] - math.copysign(quality.L1, z[i])) / rate
+
+    def values(text):
+        counts = plain_counts(text, bits)
+        length = math.sqrt(max(1, sum(counts.values())))
+        return {"bias": 1.0} | {i: c / length for i, c in counts.items()}
+
+    for _ in range(epochs):
+        for text, label in zip(texts, labels, strict=True):
+            x = values(text)
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w[i]
+                n[i] += g * g
+    model = quality.fit(texts, labels, bits, epochs)
+    assert sum(weight(i) != 0 for i in range(1 << bits)) > 20
+    assert model.weights == pytest.approx([weight(i) for i in range(1 << bits)], abs=1e-6)
+    assert model.bias == pytest.approx(weight("bias"))
+    for text in [*texts[:9], "", "unseen words GOOD"]:
+        dot = sum(weight(i) * v for i, v in values(text).items())
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-dot)), abs=1e-5)
+
+
+def test_an_id_of_both_labels_counts_as_good(spark, documents):
+    frame = documents([(i, f"text {i}") for i in range(4)])
+    labels = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (2, 1)], "doc_id bigint, quality int")
+    found = {r.text: r.label for r in quality.examples(frame, labels).collect()}
+    assert found == {"text 0": 1, "text 1": 0, "text 2": 1}

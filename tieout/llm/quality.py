@@ -164,7 +164,8 @@ def train(
 ) -> Model:
     """The model of `documents` (doc_id, text) whose `labels` (doc_id, quality) is 0 or 1.
 
-    Rows with a null doc_id or another label teach nothing; null texts count as empty. At most
+    Rows with a null doc_id or another label teach nothing; an id labelled both 0 and 1 counts as 1;
+    null texts count as empty. At most
     `sample_rows` labelled ids, chosen by a hash of doc_id, are learnt, one row of each, and at
     most 2 ** bits weights reach the driver. All tasks look for the sample; one receives it.
     """
