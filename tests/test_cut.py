@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import UTC, date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tieout.catalogue import jobs
 from tieout.durable import materialise
 from tieout.model import CUTS, MANIFEST, TRANSACTIONS, MergeSpec
 from tieout.operators import cdc, release
@@ -88,6 +90,43 @@ def test_redelivered_events_count_once(spark):
     assert row["landed"] == 2
 
 
+def test_masks_count_like_a_distinct(spark):
+    numbers = [None, 0, 1, 63, 64, 65, -1, -64, -65, 2**63 - 1, -(2**63), 10**12, 10**12 + 1]
+    rows = [(k, n) for i, n in enumerate(numbers) for k in ("a", None) if k or i % 2 for _ in "ab"]
+    rows = spark.createDataFrame([*rows, ("none", None)], "k string, n bigint")
+    found = C.distinct_numbers(rows, ("k",), "n", "found")
+    wanted = rows.groupBy("k").agg(F.count_distinct("n").alias("found"))
+    assert found.dtypes == wanted.dtypes
+    assert set(found.collect()) == set(wanted.collect())
+
+
+def test_lines_of_a_transaction_travel_as_one(spark, tmp_path):
+    lines = [(f"t{i}", n) for i in range(20) for n in range(50)]
+    lines = spark.createDataFrame(lines, "transaction_id string, source_lsn bigint").coalesce(1)
+    lines.write.parquet(str(tmp_path / "lines"))
+    counts = C.landed_counts({LEDGER: spark.read.parquet(str(tmp_path / "lines"))})
+    assert {r["landed"] for r in counts.collect()} == {50}
+    assert max(shuffled_rows(counts)) == 20
+
+
+def shuffled_rows(frame):
+    """Rows that each exchange of a frame wrote when it was collected."""
+    plan, found = frame._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if "QueryStage" in node.getClass().getSimpleName():
+            return walk(node.plan())
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return found
+
+
 def test_the_stuck_transaction_is_named(spark):
     e = ends(spark, (1, "t1", {LOAN: 1}), (2, "t2", {LOAN: 1, LEDGER: 2}), (3, "t3", {LOAN: 9}))
     rows = C.first_incomplete(e, landed(spark, ("t1", LOAN, 1), ("t2", LOAN, 1))).collect()
@@ -212,6 +251,57 @@ def test_a_run_that_died_before_its_cut_was_recorded_is_run_again(spark):
     assert release.read(lake.rows["loan"], lake.manifest, "loan").count() == 1
 
 
+def test_an_unsupported_change_fails_before_any_table_has_a_next_state(spark):
+    e = ends(spark, (1, "t1", {LOAN: 1, LEDGER: 1}))
+    lake = Lake(spark)
+    tables = lake.tables([("L1", 10, "t1")], [("E1", 11, "t1")])
+    bad = replace(tables[LEDGER], bronze=tables[LEDGER].bronze.withColumn("op", F.lit("t")))
+    with pytest.raises(Exception, match="unsupported change operation: t"):
+        cut_advance.advance(lake.cuts, "db", e, {**tables, LEDGER: bad}, 1, NOW)
+
+
+def test_a_batch_is_dealt_out_by_key_once(spark, monkeypatch, tmp_path):
+    """Its fold goes straight into the join; only the state is dealt out beside it."""
+    monkeypatch.setattr(merge, "materialise", lambda frame: pytest.fail("the fold was stored"))
+    loans = Lake(spark).tables([(f"L{i}", i, "t1") for i in range(100)], [])[LOAN].bronze
+    loans.write.parquet(str(tmp_path / "loans"))
+    batch = spark.read.parquet(str(tmp_path / "loans"))
+    state = materialise(cdc.apply_changes(cdc.empty_target(batch, LOANS), batch, LOANS, NOW))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = merge.merge_batch(state, LOANS, batch, NOW)
+        assert len(after.collect()) == 100
+        assert sum(shuffled_rows(after)) == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_both_runs_of_the_job_read_what_has_landed_from_where_it_is_stored(
+    spark, monkeypatch, tmp_path
+):
+    read, real, folder = [], cut_advance.advance, f"{tmp_path}/given"
+    spark.createDataFrame(
+        [(k, "O", 10.5, datetime(1998 + k, 3, 1)) for k in (0, 1)],
+        "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp",
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(
+        [(k, n, 5.0, 1.25) for k in (0, 1) for n in (1, 2, 2)],
+        "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+
+    def advance(cuts, source, transactions, tables, *rest):
+        for frame in (transactions, *(t.bronze for t in tables.values())):
+            read.append(frame.inputFiles())
+        return real(cuts, source, transactions, tables, *rest)
+
+    monkeypatch.setattr(cut_advance, "advance", advance)
+    keys = [r["key"] for r in jobs.advance_source(spark, folder).collect()]
+    assert sorted(keys) == ["0", "0-1", "0-2", "1", "1-1", "1-2"]
+    assert len(read) == 6
+    assert read[:3] == read[3:]
+    assert not [f for files in read for f in files if folder in f]
+
+
 def test_a_cut_expires_after_a_week(spark):
     rows = [("db", i, f"t{i}", T0, "loan", i, NOW - timedelta(days=d, minutes=1))
             for i, d in enumerate((6, 7))]

@@ -16,6 +16,8 @@ from tieout import fixed_values as V
 from tieout.functions import newer, position
 from tieout.model import MergeSpec
 
+_POSITION = ("source_incarnation", "source_lsn")
+
 
 def latest_per_key(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The newest change of each key. Equal positions are replays; a row hash breaks the tie."""
@@ -48,6 +50,9 @@ def fill_unchanged(changes: DataFrame, spec: MergeSpec) -> DataFrame:
     """
     order = _order(changes)
     carried = ("op", "source_incarnation", "source_lsn", *spec.values)
+    # The largest (position, tie, rest): a position written once makes narrower rows than max_by's.
+    rest = [c for c in carried if c not in _POSITION]
+    newest = F.max(F.struct(*_POSITION, _tie(changes).alias("tie"), *rest))
     real = [
         F.max_by(
             F.struct(F.col(c).alias("value"), position().alias("at")),
@@ -55,11 +60,12 @@ def fill_unchanged(changes: DataFrame, spec: MergeSpec) -> DataFrame:
         ).alias(f"real_{c}")
         for c in spec.large
     ]
-    return changes.groupBy(*spec.keys).agg(
-        F.max_by(F.struct(*carried), order).alias("newest"),
+    folded = changes.groupBy(*spec.keys).agg(
+        newest.alias("newest"),
         F.max(F.when(F.col("op") == V.DELETE, position())).alias("deleted_at"),
         *real,
     )
+    return folded.withColumn("newest", F.struct(*(F.col(f"newest.{c}") for c in carried)))
 
 
 def apply_changes(
@@ -179,8 +185,11 @@ def sweep(
 
 
 def _order(changes: DataFrame) -> Column:
-    tie = F.xxhash64(*(F.col(c) for c in sorted(changes.columns)))
-    return F.struct("source_incarnation", "source_lsn", tie.alias("tie"))
+    return F.struct(*_POSITION, _tie(changes).alias("tie"))
+
+
+def _tie(changes: DataFrame) -> Column:
+    return F.xxhash64(*(F.col(c) for c in sorted(changes.columns)))
 
 
 def _problem() -> Column:

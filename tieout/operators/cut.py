@@ -64,21 +64,32 @@ def only_transactions(changes: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def landed_counts(changes: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct events per (transaction, table); distinct because delivery repeats.
-
-    The distinct runs on (transaction, table, position), which spreads a transaction of any size.
-    """
+    """Distinct events per (transaction, table); distinct because delivery repeats."""
     tagged = [
         rows.select("transaction_id", F.lit(table).alias("source_table"), "source_lsn")
         for table, rows in changes.items()
     ]
-    return (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy("transaction_id", "source_table")
-        .agg(F.count_distinct("source_lsn").alias("landed"))
+    return distinct_numbers(
+        reduce(DataFrame.unionByName, tagged), ("transaction_id", "source_table"), "source_lsn",
+        "landed",
     )
 
 
+def distinct_numbers(
+    rows: DataFrame, keys: Collection[str], number: str, name: str
+) -> DataFrame:
+    """How many different whole numbers each key has, as `name`; NULL does not count.
+
+    64 neighbouring numbers are bits of one mask, so the rows of a key that lie together travel as
+    one, and a key of any size spreads over its masks.
+    """
+    at = F.col(number).cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
+    masks = rows.groupBy(*keys, F.shiftright(at, 6).alias("block")).agg(F.bit_or(bit).alias("mask"))
+    counted = F.coalesce(F.sum(F.bit_count("mask")), F.lit(0).cast("bigint"))
+    return masks.groupBy(*keys).agg(counted.alias(name))
+
+
 def mismatches(
     ends: DataFrame, landed: DataFrame, tracked: Collection[str] | None = None
 ) -> DataFrame:

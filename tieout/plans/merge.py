@@ -29,8 +29,18 @@ def folded(changes: DataFrame, spec: MergeSpec) -> DataFrame:
 def merge_batch(
     target: DataFrame, spec: MergeSpec, changes: DataFrame, now: datetime
 ) -> DataFrame:
-    """The whole next state, for a target that is written anew."""
-    return cdc.apply_folded(target, folded(changes, spec), spec, now)
+    """The whole next state, for a target that is written anew.
+
+    The batch is folded on its way into the join, so that its keys are dealt out once; it is
+    looked through for unsupported changes before.
+    """
+    refuse_unsupported(changes)
+    return cdc.apply_changes(target, changes, spec, now)
+
+
+def refuse_unsupported(changes: DataFrame) -> None:
+    """Fail before any merge if there is a change that must fail the batch."""
+    cdc.reject_unsupported(changes).agg(F.count(F.lit(1))).first()
 
 
 def upserts(target: DataFrame, spec: MergeSpec, changes: DataFrame, now: datetime) -> DataFrame:

@@ -15,7 +15,7 @@ from tieout import fixed_values as V
 from tieout.durable import materialise
 from tieout.functions import paise
 from tieout.model import MANIFEST, POINTER, FeedContract, MergeSpec
-from tieout.operators import cdc, deliveries, release
+from tieout.operators import cdc, cut, deliveries, release
 from tieout.sources.tables import given
 
 LOAN = MergeSpec(
@@ -84,9 +84,8 @@ def target(spark: SparkSession, folder: str) -> DataFrame:
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     orders = given(spark, folder, "orders")
     lines = given(spark, folder, "lineitem")
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count_distinct("l_linenumber").alias("lines")
-    )
+    numbered = lines.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    per_order = cut.distinct_numbers(numbered, ("o_orderkey",), "l_linenumber", "lines")
     day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
 
     def collection(name: str, count):
